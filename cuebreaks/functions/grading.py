@@ -44,17 +44,27 @@ def _by_minutes(seconds: Column, steps, above) -> Column:
     return chain.otherwise(F.lit(above))
 
 
-def duration_band(duration: Column | str) -> Column:
-    """Duration label; NULL for no duration, the top label for one that is not a number."""
-    seconds = whole_number(duration)
+def duration_band(duration: Column | str, seconds: Column | str | None = None) -> Column:
+    """Duration label; NULL for no duration, the top label for one that is not a number.
+
+    ``seconds`` is the whole number of ``duration`` where a column already holds it; the
+    steps then compare that column instead of rounding the duration once per step.
+    """
+    seconds = whole_number(duration) if seconds is None else as_column(seconds)
     return F.when(
         as_column(duration).isNotNull(), _by_minutes(seconds, BAND_LABELS, BAND_LABEL_ABOVE)
     )
 
 
-def ad_spec(duration: Column | str, genre: Column | str) -> Column:
-    """Number of cue points a title of this duration and genre should have, as bigint."""
-    seconds, genre = whole_number(duration), as_column(genre)
+def ad_spec(
+    duration: Column | str, genre: Column | str, seconds: Column | str | None = None
+) -> Column:
+    """Number of cue points a title of this duration and genre should have, as bigint.
+
+    ``seconds`` as in ``duration_band``.
+    """
+    seconds = whole_number(duration) if seconds is None else as_column(seconds)
+    genre = as_column(genre)
     spec = (
         F.when(as_column(duration).isNull(), F.lit(SPEC_WITHOUT_DURATION))
         .when(genre.isNull() | seconds.isNull(), F.lit(SPEC_WITHOUT_GENRE))

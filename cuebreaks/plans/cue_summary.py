@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cuebreaks import functions as R
+from cuebreaks.functions.grading import CUE_WITHOUT_LENGTH
 from cuebreaks.operators import (
     HotKeys,
     add_terminal_rows,
@@ -32,7 +33,6 @@ from cuebreaks.operators import (
     previous_in_pieces,
     terminal_quotients,
 )
-from cuebreaks.operators.fill import FALLBACK_PREFIX
 from cuebreaks.operators.skew import HOT_ROWS
 from cuebreaks.sources.schemas import CORRECTIONS, CUES, METADATA, SUMMARY, check_schema
 from cuebreaks.sources.staging import Stage
@@ -46,26 +46,40 @@ GENRES = ("Primary_Genre", "Secondary_Genre", "ProductType")
 RAW_EPISODE = ("seriesTitle", "seasonNumber", "episodeNumber")
 SNAPSHOT = "SDPSnapshotUpdateTimestamp"
 
-# What the last duplicate removal compares; the other summary columns are added after it.
-COMPARED = SUMMARY.names[: SUMMARY.names.index("Last_contentTimePosition")]
+# The columns that tell two summary rows apart; all others follow from these and are added
+# after the last shuffle. A row without ``ad_cue`` is an end of video.
+CORE = (
+    SERIES,
+    ASSET,
+    "assetName",
+    "assetDuration",
+    "cuePointLength",
+    "cuePointPosition",
+    "contentTimePosition",
+    "ad_cue",
+    "Content_Segments",
+    *GENRES,
+    "SeasonNumber",
+    "EpisodeNumber",
+    "TypeOfContent",
+    "Distributor",
+    "Mutiplier",
+    "Multiplier_just_one_more",
+    "Content_Segments_MAX",
+)
 
-# Breaks of an episode follow their interval number. The other columns settle the order of
-# rows that share one, so that every run gives the same intervals.
-_FIRST = ("Interval_Segments", ASSET, "assetName", "contentTimePosition")
-BREAK_ORDER = (*_FIRST, *[c for c in COMPARED if c not in _FIRST and c not in EPISODE])
+# Breaks of an episode follow their position. The other columns settle the order of rows
+# that share one, so that every run gives the same intervals.
+_FIRST = ("cuePointPosition", ASSET, "assetName", "contentTimePosition")
+BREAK_ORDER = (*_FIRST, *[c for c in CORE if c not in _FIRST and c not in EPISODE])
 
 TERMINAL_BLANK = (
-    "Asset_Duration_minutes",
-    "Content_Breaks",
-    "Content_Breaks_percent",
     "ad_cue",
     "Content_Segments",
-    "Content_Segments_percent",
     "Distributor",
     "Mutiplier",
     "Multiplier_just_one_more",
     "Content_Segments_MAX",
-    "Content_Segments_MAX_split",
 )
 
 
@@ -141,9 +155,12 @@ def _terminals(
     wanted = asked.select(ASSET, "_length")
     on = [(ASSET, ASSET), ("_position", "_length")]
     candidates = join_on(positions.distinct(), wanted, on, how="left_semi", hot=hot)
-    graded = metadata_join(
+    described = metadata_join(
         candidates, metadata, ASSET, "ContentID", ["Primary_Genre"], match, hot
-    ).withColumn("_spec", R.ad_spec("assetDuration", "Primary_Genre"))
+    )
+    graded = described.withColumn("_seconds", R.whole_number("assetDuration")).withColumn(
+        "_spec", R.ad_spec("assetDuration", "Primary_Genre", "_seconds")
+    )
     return terminal_quotients(graded, ASSET, "_position", "_length", "_spec")
 
 
@@ -188,39 +205,27 @@ def title_attributes(
 
 
 def _describe(cues: DataFrame) -> DataFrame:
-    """The compared columns of real cue points, from staged cues with title attributes."""
-    filled = fill_from_fallback(cues, GENRES, is_episode())
+    """The core columns of real cue points, from staged cues with title attributes."""
     duration, time, length = "assetDuration", "contentTimePosition", "cuePointLength"
-    spec = R.ad_spec(duration, "Primary_Genre")
     derived = {
-        "Asset_Duration_minutes": R.duration_minutes(duration),
-        "cuePointLength": F.col("_length"),
+        length: F.col("_length"),
         "cuePointPosition": R.zero_fill("cuePointPosition"),
-        "contentTimePosition": R.zero_fill(time),
-        "Content_Breaks": R.break_minutes(time),
-        "Content_Breaks_percent": R.break_fraction(time, duration),
+        time: R.zero_fill(time),
         "ad_cue": R.cue_label(length),
         "Content_Segments": R.content_segments(length, time, duration),
-        "Content_Segments_percent": R.content_segments_fraction(length, time, duration),
-        "duration": R.duration_band(duration),
         "TypeOfContent": R.content_type("TypeOfContent"),
-        "ad_spec": spec,
-        "ad_grade": R.ad_grade("_length", spec),
-        "Content_Segments_MAX_split": F.col("Content_Segments_MAX") / 2,
-        "Interval_Segments": R.zero_fill("cuePointPosition"),
     }
-    return filled.select(*[derived.get(c, F.col(c)).alias(c) for c in COMPARED])
+    filled = fill_from_fallback(cues, GENRES, is_episode())
+    return filled.select(*[derived.get(c, F.col(c)).alias(c) for c in CORE])
 
 
 def _with_ends(cues: DataFrame) -> DataFrame:
     """Cue points and one end-of-video row per asset, without duplicates."""
-    after_last = F.col("cuePointLength") + 1
     return add_terminal_rows(
         cues,
         replace={
-            "cuePointPosition": after_last,
+            "cuePointPosition": F.col("cuePointLength") + 1,
             "contentTimePosition": F.col("assetDuration"),
-            "Interval_Segments": after_last,
         },
         blank=TERMINAL_BLANK,
     ).distinct()
@@ -253,6 +258,32 @@ def _with_previous(cues: DataFrame, attributes: DataFrame, hot: _Hot, stage: Sta
     return in_order(ordinary).unionByName(in_pieces)
 
 
+def _complete(breaks: DataFrame, run_date: dt.date | None) -> DataFrame:
+    """The summary columns that follow from the core columns, row by row."""
+    duration, time, length = "assetDuration", "contentTimePosition", "cuePointLength"
+    is_cue = F.col("ad_cue").isNotNull()
+    raw_length = F.when(F.col("ad_cue") != CUE_WITHOUT_LENGTH, F.col(length))
+    raw_time = F.when(F.col("Content_Segments").isNotNull(), F.col(time))
+    derived = {
+        "Asset_Duration_minutes": F.when(is_cue, R.duration_minutes(duration)),
+        "Content_Breaks": F.when(is_cue, R.break_minutes(time)),
+        "Content_Breaks_percent": F.when(is_cue, R.break_fraction(time, duration)),
+        "Content_Segments_percent": F.when(
+            is_cue, R.content_segments_fraction(raw_length, raw_time, duration)
+        ),
+        "duration": R.duration_band(duration, "_seconds"),
+        "ad_grade": R.ad_grade(length, "ad_spec"),
+        "Content_Segments_MAX_split": F.col("Content_Segments_MAX") / 2,
+        "Interval_Segments": F.col("cuePointPosition"),
+        "updated_date": R.run_date_stamp(run_date),
+        "Ad_Breaks_Interval": interval_since(time, "Last_contentTimePosition"),
+    }
+    graded = breaks.withColumn("_seconds", R.whole_number(duration)).withColumn(
+        "ad_spec", R.ad_spec(duration, "Primary_Genre", "_seconds")
+    )
+    return graded.select(*[derived.get(c, F.col(c)).alias(c) for c in SUMMARY.names])
+
+
 def cue_summary(
     cues: DataFrame,
     corrections: DataFrame,
@@ -282,13 +313,7 @@ def cue_summary(
         title_attributes(current, profile, metadata, metadata_match, hot, stage), "attributes"
     )
     breaks = _with_previous(current.filter("_usable").drop("_usable"), attributes, hot, stage)
-    finished = breaks.withColumns(
-        {
-            "updated_date": R.run_date_stamp(run_date),
-            "Ad_Breaks_Interval": interval_since("contentTimePosition", "Last_contentTimePosition"),
-        }
-    )
-    return finished.select(*SUMMARY.names)
+    return _complete(breaks, run_date)
 
 
 def build_summary_table(

@@ -44,9 +44,9 @@ def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def derive_cues(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", *LINE_ORDER)
     hot = hot_keys(lines, ["l_orderkey"], hot_rows)
-    numbered = numbered_in_order(lines, ["l_orderkey"], LINE_ORDER, "pos", "len", hot)
     titles = _titles(spark, sf_dir).select("k", "c_name", "o_orderdate")
-    base = join_on(numbered, titles, [("l_orderkey", "k")], how="inner", hot=hot).withColumn(
+    titled = join_on(lines, titles, [("l_orderkey", "k")], how="inner", hot=hot)
+    base = numbered_in_order(titled, ["l_orderkey"], LINE_ORDER, "pos", "len", hot).withColumn(
         "k", F.col("l_orderkey")
     )
 
