@@ -127,15 +127,20 @@ class _Hot:
     episode: HotKeys | None = None
 
 
-def _find_hot(cues: DataFrame, profile: DataFrame, hot_rows: int) -> _Hot:
+def _profile(cues: DataFrame, hot_rows: int, stage: Stage) -> tuple[DataFrame, _Hot]:
+    """Row counts by title and episode, and the hot keys they show."""
+    profile = cues.groupBy(*TITLE, "SeasonNumber", "EpisodeNumber", "_usable").agg(
+        F.count(F.lit(1)).alias("_rows")
+    )
     # A count of staged Parquet reads footers only; no key of a small relation can be hot.
     if cues.count() < hot_rows:
-        return _Hot()
+        return profile, _Hot()
+    profile = stage.write(profile, "profile")
 
     def rows_by(*columns: str) -> HotKeys | None:
         return hot_keys(profile, columns, hot_rows, weight="_rows")
 
-    return _Hot(rows_by(ASSET), rows_by(SERIES), rows_by(*TITLE), rows_by(*EPISODE))
+    return profile, _Hot(rows_by(ASSET), rows_by(SERIES), rows_by(*TITLE), rows_by(*EPISODE))
 
 
 def _terminals(
@@ -152,9 +157,10 @@ def _terminals(
         "_length",
         "assetDuration",
     )
+    # Most cues are not at an asked position, so they are sifted before anything else.
     wanted = asked.select(ASSET, "_length")
     on = [(ASSET, ASSET), ("_position", "_length")]
-    candidates = join_on(positions.distinct(), wanted, on, how="left_semi", hot=hot)
+    candidates = join_on(positions, wanted, on, how="left_semi", hot=hot).distinct()
     described = metadata_join(
         candidates, metadata, ASSET, "ContentID", ["Primary_Genre"], match, hot
     )
@@ -302,13 +308,7 @@ def cue_summary(
     stage = stage or Stage(cues.sparkSession)
     metadata = check_schema(metadata, METADATA, "metadata")
     current = stage.write(current_cues(cues, corrections, hot_rows), "cues")
-    profile = stage.write(
-        current.groupBy(*TITLE, "SeasonNumber", "EpisodeNumber", "_usable").agg(
-            F.count(F.lit(1)).alias("_rows")
-        ),
-        "profile",
-    )
-    hot = _find_hot(current, profile, hot_rows)
+    profile, hot = _profile(current, hot_rows, stage)
     attributes = stage.write(
         title_attributes(current, profile, metadata, metadata_match, hot, stage), "attributes"
     )
