@@ -36,7 +36,7 @@ from cuebreaks.operators import (
 from cuebreaks.operators.skew import HOT_ROWS
 from cuebreaks.sources.schemas import CORRECTIONS, CUES, METADATA, SUMMARY, check_schema
 from cuebreaks.sources.staging import Stage
-from cuebreaks.sources.tables import read_table, replace_table
+from cuebreaks.sources.tables import check_target, read_table, replace_table
 
 SERIES, ASSET = "Video_Series_Name", "assetExternalID"
 EPISODE = (SERIES, "SeasonNumber", "EpisodeNumber")
@@ -328,8 +328,10 @@ def build_summary_table(
     atomic: bool = False,
 ) -> None:
     """Read the three input tables, replace ``target`` by the summary, free the staged data."""
+    sources = (cues, corrections, metadata)
+    check_target(target, sources)
     stage = Stage(spark)
-    inputs = [read_table(spark, name) for name in (cues, corrections, metadata)]
+    inputs = [read_table(spark, name) for name in sources]
     summary = cue_summary(*inputs, metadata_match, run_date, stage)
-    replace_table(summary, target, (cues, corrections, metadata), partition_by, atomic)
+    replace_table(summary, target, sources, partition_by, atomic)
     stage.release()

@@ -20,6 +20,12 @@ def _same_table(table: str) -> str:
     return table.rstrip("/") if is_path(table) else table.replace("`", "").lower()
 
 
+def check_target(target: str, sources: Iterable[str]) -> None:
+    """Refuse a target that is also a source: overwriting would delete what is yet to be read."""
+    if _same_table(target) in {_same_table(source) for source in sources}:
+        raise ValueError(f"{target} is also read by the query that would replace it")
+
+
 def replace_table(
     df: DataFrame,
     target: str,
@@ -29,12 +35,10 @@ def replace_table(
 ) -> None:
     """Write ``df`` as the whole new content of ``target``, a table name or a path.
 
-    ``sources`` are the tables ``df`` reads; a target among them is refused, as
-    overwriting would delete what is still to be read. ``atomic`` asks for one
-    create-or-replace step, which needs a catalog that supports it.
+    ``sources`` are the tables ``df`` reads. ``atomic`` asks for one create-or-replace
+    step, which needs a catalog that supports it.
     """
-    if _same_table(target) in {_same_table(source) for source in sources}:
-        raise ValueError(f"{target} is also read by the query that would replace it")
+    check_target(target, sources)
     partition_by = list(partition_by)
     if atomic:
         writer = df.writeTo(target)

@@ -1,0 +1,188 @@
+"""Hot keys: the split ways must give the same rows as the ordinary ones, and be taken."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from cuebreaks import cue_summary
+from cuebreaks import operators as ops
+from cuebreaks.operators import skew
+from cuebreaks.sources.derived import cue_inputs, derive_cues
+from helpers import SMALL, bag, correction_rows, cue, cue_rows, metadata_rows
+
+HOT = 40
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """A third of the rows share one key, another third are copies of one row, some keys are NULL."""
+    n = F.col("id")
+    return (
+        spark.range(0, 900, 1, 6)
+        .select(
+            F.when(n % 3 == 0, 7)
+            .when(n % 3 == 1, 8)
+            .when(n % 9 == 2, F.lit(None))
+            .otherwise(n)
+            .cast("long")
+            .alias("k"),
+            F.when(n % 3 == 1, 0).otherwise(n).cast("long").alias("v"),
+            F.when(n % 3 == 1, 5).otherwise(n % 11).cast("long").alias("t"),
+        )
+        .repartition(6, "v")
+    )
+
+
+def test_hot_keys_are_the_heavy_ones_in_pieces(skewed):
+    hot = ops.hot_keys(skewed, ["k"], HOT)
+    assert {(r.k, r._pieces) for r in hot.keys.collect()} == {(7, 8), (8, 8), (None, 3)}
+    assert hot.total_pieces == 19
+    assert ops.hot_keys(skewed, ["k"], 10_000) is None
+
+
+def test_hot_key_list_is_bounded(skewed, monkeypatch):
+    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 1)
+    monkeypatch.setattr(skew, "MAX_PIECES", 4)
+    hot = ops.hot_keys(skewed, ["k"], HOT)
+    assert hot.keys.count() == 1 and hot.total_pieces == 4
+    # Keys beyond the list still get their whole result.
+    joined = ops.group_max_join_back(skewed, "k", "v", "m", hot=HOT)
+    assert bag(joined) == bag(ops.group_max_join_back(skewed, "k", "v", "m", hot=None))
+
+
+def test_spread_separates_rows_and_copies(spark):
+    copies = spark.range(0, 800, 1, 8).select(F.lit(1).alias("k"))
+    hot = ops.hot_keys(copies, ["k"], 100)
+    salts = ops.spread(hot.mark(copies)).groupBy("_salt").count().collect()
+    assert len(salts) > 1 and max(r["count"] for r in salts) < 800
+
+
+def test_latest_snapshot(skewed):
+    plain = ops.latest_snapshot(skewed, ["k"], "t", None)
+    best = skewed.groupBy("k").agg(F.max("t").alias("best"))
+    expected = skewed.join(best.withColumnRenamed("k", "kk"), F.expr("k <=> kk AND t = best"))
+    assert bag(plain) == bag(expected.select("k", "v", "t"))
+    assert bag(ops.latest_snapshot(skewed, ["k"], "t", HOT)) == bag(plain)
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_joins(spark, skewed, how, null_safe):
+    right = spark.createDataFrame(
+        [(7, "a"), (7, "b"), (8, "c"), (5, "d"), (None, "e")], "key long, name string"
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hot = ops.hot_keys(skewed, ["k"], HOT)
+        split = ops.join_on(skewed, right, [("k", "key")], how, hot, null_safe)
+        plain = ops.join_on(skewed, right, [("k", "key")], how, None, null_safe)
+        test = "k <=> key" if null_safe else "k = key"
+        expected = skewed.join(right, F.expr(test), how).drop("key")
+        assert bag(split) == bag(plain) == bag(expected)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_group_max_and_semi_join(spark, skewed):
+    plain = ops.group_max_join_back(skewed, "k", "v", "m", hot=None)
+    assert bag(ops.group_max_join_back(skewed, "k", "v", "m", hot=HOT)) == bag(plain)
+    assert plain.filter("k IS NULL AND m IS NOT NULL").isEmpty()
+    members = spark.createDataFrame([(7,), (7,), (3,)], "key long")
+    semi = ops.series_semi_join(skewed, members, "k", "key", hot=HOT)
+    assert bag(semi) == bag(skewed.filter("k IN (3, 7)"))
+
+
+def test_position_lookups(skewed):
+    rows = skewed.withColumn("spec", F.col("t") + 1)
+    for lookup in (
+        lambda hot: ops.next_position_lookup(rows, "k", "t", "v", "following", hot=hot),
+        lambda hot: ops.terminal_position_lookup(rows, "k", "t", "v", "spec", hot=hot),
+    ):
+        assert bag(lookup(HOT)) == bag(lookup(None))
+
+
+def test_fill(skewed):
+    rows = skewed.select(
+        "k",
+        F.when(F.col("v") % 2 == 0, F.concat(F.lit("g"), F.col("t"))).alias("g"),
+        F.when(F.col("v") % 2 == 0, F.concat(F.lit("h"), F.col("v"))).alias("h"),
+        "v",
+    )
+    eligible = F.col("v") % 5 != 0
+    plain = ops.group_fallback_fill(rows, "k", ["g", "h"], eligible, hot=None)
+    assert bag(ops.group_fallback_fill(rows, "k", ["g", "h"], eligible, hot=HOT)) == bag(plain)
+    assert plain.count() == rows.count()
+
+
+def test_previous_value(skewed):
+    # Copies of a row carry the same value, so their order does not show.
+    order = ["t", "v"]
+    plain = ops.previous_value(skewed, "v", ["k"], order, "before", hot=None)
+    by = Window.partitionBy("k").orderBy("t", "v")
+    assert bag(plain) == bag(skewed.withColumn("before", F.lag("v").over(by)))
+    split = ops.previous_value(skewed, "v", ["k"], order, "before", hot=HOT)
+    assert bag(split) == bag(plain)
+
+
+def test_previous_value_keeps_nulls(spark):
+    rows = [(1, i, None if i % 4 == 0 else i * 10) for i in range(200)]
+    frame = spark.createDataFrame(rows, "k long, t long, v long").repartition(5)
+    split = ops.previous_value(frame, "v", ["k"], ["t"], "before", hot=20)
+    plain = ops.previous_value(frame, "v", ["k"], ["t"], "before", hot=None)
+    assert bag(split) == bag(plain)
+
+
+def test_numbering(skewed):
+    args = (["k"], ["t", "v"], "pos", "len")
+    plain = ops.numbered_in_order(skewed, *args, hot=None)
+    assert bag(ops.numbered_in_order(skewed, *args, hot=HOT)) == bag(plain)
+
+
+def test_no_piece_holds_a_whole_hot_group(spark, skewed):
+    from cuebreaks.operators.intervals import PIECE, _in_pieces
+    from cuebreaks.sources.staging import Stage
+
+    hot = skewed.filter("k IN (7, 8)")
+    pieces = _in_pieces(hot, ["k"], ["t", "v"], 12, Stage(spark))
+    sizes = pieces.groupBy("k", PIECE).count().collect()
+    # Key 8 is 300 copies of one row in one input partition: only those may stay together.
+    assert max(r["count"] for r in sizes if r.k == 7) < 100
+
+
+def test_derived_cues(spark):
+    assert bag(derive_cues(spark, SMALL, hot_rows=8)) == bag(derive_cues(spark, SMALL))
+
+
+@pytest.mark.parametrize("match", ["exact", "normalized"])
+def test_summary_of_derived_inputs(spark, match):
+    inputs, date = cue_inputs(spark, SMALL), dt.date(2024, 1, 2)
+    plain = cue_summary(*inputs, match, date)
+    assert bag(cue_summary(*inputs, match, date, hot_rows=30)) == bag(plain)
+
+
+def test_summary_with_one_giant_episode(spark):
+    """One series and season 0 hold everything: half without an asset id, half of one asset."""
+    rows = [
+        cue(
+            seriesTitle="Hot",
+            assetName=f"Clip {i % 40}",
+            assetExternalID=None if i % 2 else "H1_HDSDR",
+            assetDuration=float(600 + i % 3),
+            cuePointLength=5,
+            cuePointPosition=i % 6,
+            contentTimePosition=float(i),
+        )
+        for i in range(600)
+    ]
+    inputs = (
+        cue_rows(spark, rows),
+        correction_rows(spark, [("hot", "clip 3", 1, 1)]),
+        metadata_rows(spark, [("h1", "Drama", "Crime", "Series", "D2C", "D")]),
+    )
+    date = dt.date(2024, 1, 2)
+    plain = cue_summary(*inputs, "exact", date)
+    split = cue_summary(*inputs, "exact", date, hot_rows=25)
+    assert bag(split) == bag(plain)
+    assert plain.count() > 600
