@@ -71,11 +71,11 @@ def hot_keys(
         .withColumn(PIECES, F.least(F.ceil(F.col("_rows") / hot_rows), F.lit(MAX_PIECES)).cast("int"))
         .select(*columns, *extra, PIECES)
     )
-    found = heaviest.collect()
-    if not found:
+    found = heaviest.toArrow()
+    if not found.num_rows:
         return None
     keys = df.sparkSession.createDataFrame(found, heaviest.schema)
-    pieces = min(MAX_PIECES, sum(row[PIECES] for row in found))
+    pieces = min(MAX_PIECES, sum(found.column(PIECES).to_pylist()))
     return HotKeys(tuple(columns), keys, pieces)
 
 
