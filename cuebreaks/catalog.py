@@ -14,7 +14,7 @@ from cuebreaks import operators as ops
 from cuebreaks import oracle
 from cuebreaks.plans import cue_summary
 from cuebreaks.sources.derived import LINE_ORDER, CueInputs, cue_inputs
-from cuebreaks.sources.staging import shared_dir
+from cuebreaks.sources.staging import Stage, shared_dir
 from cuebreaks.sources.tables import read_table, replace_table
 
 RUN_DATE = dt.date(2024, 1, 2)
@@ -41,6 +41,11 @@ def _on_cues(query: Callable[[DataFrame], DataFrame]) -> Query:
     return _on_inputs(lambda inputs: query(inputs.cues))
 
 
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    """Written out: operators read their input twice, to count keys and to work on it."""
+    return Stage(df.sparkSession).write(df, name)
+
+
 def _open(cues: DataFrame, *columns: str) -> DataFrame:
     """Distinct open cues, cut to ``columns``."""
     return ops.current_versions(cues, "effectiveTo", columns or None)
@@ -65,7 +70,8 @@ def prune_then_dedup(lineitem: DataFrame) -> DataFrame:
 
 def latest_snapshot_cues(cues: DataFrame) -> DataFrame:
     keys, snapshot = ["seriesTitle", "seasonNumber", "episodeNumber"], "SDPSnapshotUpdateTimestamp"
-    latest = ops.latest_snapshot(ops.current_versions(cues, "effectiveTo"), keys, snapshot)
+    current = _staged(ops.current_versions(cues, "effectiveTo"), "current")
+    latest = ops.latest_snapshot(current, keys, snapshot)
     return latest.select(*keys, "assetExternalID", "cuePointPosition", snapshot)
 
 
@@ -104,13 +110,14 @@ def _normalized(cues: DataFrame) -> DataFrame:
 def next_position_lookup(lineitem: DataFrame) -> DataFrame:
     lines = lineitem.select("l_orderkey", *LINE_ORDER)
     placed = ops.numbered_in_order(lines, ["l_orderkey"], LINE_ORDER, "pos", "len")
-    placed = placed.select("l_orderkey", "l_extendedprice", "pos")
+    placed = _staged(placed.select("l_orderkey", "l_extendedprice", "pos"), "placed")
     return ops.next_position_lookup(placed, "l_orderkey", "pos", "l_extendedprice", "next_price")
 
 
 def next_position_lookup_cues(cues: DataFrame) -> DataFrame:
+    positions = _open(cues, "assetExternalID", "cuePointPosition", "contentTimePosition")
     return ops.next_position_lookup(
-        _open(cues, "assetExternalID", "cuePointPosition", "contentTimePosition"),
+        _staged(positions, "positions"),
         "assetExternalID",
         "cuePointPosition",
         "contentTimePosition",
@@ -143,8 +150,9 @@ def _specified(inputs: CueInputs) -> DataFrame:
 
 
 def terminal_position_lookup(inputs: CueInputs) -> DataFrame:
+    specified = _staged(_specified(inputs), "specified")
     return ops.terminal_position_lookup(
-        _specified(inputs), "assetExternalID", "cuePointPosition", "cuePointLength", "ad_spec"
+        specified, "assetExternalID", "cuePointPosition", "cuePointLength", "ad_spec"
     )
 
 
@@ -163,7 +171,7 @@ def group_max_cues(cues: DataFrame) -> DataFrame:
         ),
     )
     return ops.group_max_join_back(
-        segments, "assetExternalID", "Content_Segments", "Content_Segments_MAX"
+        _staged(segments, "segments"), "assetExternalID", "Content_Segments", "Content_Segments_MAX"
     )
 
 
@@ -177,7 +185,7 @@ def _placed(cues: DataFrame) -> DataFrame:
     """Distinct open cues by series, season and episode, without missing numbers."""
     numbers = ("cuePointLength", "cuePointPosition", "contentTimePosition")
     return (
-        _normalized(cues.filter(F.col("effectiveTo") >= F.lit("9999-01-01").cast("timestamp_ntz")))
+        _normalized(ops.open_records(cues, "effectiveTo"))
         .withColumns({c: R.zero_fill(c) for c in numbers})
         .select(
             R.series_name("seriesTitle", "assetName").alias("Video_Series_Name"),
@@ -198,6 +206,7 @@ def group_fallback_fill(inputs: CueInputs) -> DataFrame:
         cues, inputs.metadata, "assetExternalID", "ContentID", GENRES, "exact"
     ).distinct()
     eligible = (F.col("SeasonNumber") != 0) & (F.col("EpisodeNumber") != 0)
+    genred = _staged(genred, "genred")
     return ops.group_fallback_fill(genred, "Video_Series_Name", GENRES, eligible)
 
 
@@ -224,7 +233,8 @@ def break_interval(cues: DataFrame) -> DataFrame:
         "cuePointLength",
         "cuePointPosition",
     ]
-    return ops.break_interval(terminal_row_union(cues), "contentTimePosition", EPISODE, order)
+    with_ends = _staged(terminal_row_union(cues), "with-ends")
+    return ops.break_interval(with_ends, "contentTimePosition", EPISODE, order)
 
 
 def event_gaps(events: DataFrame) -> DataFrame:

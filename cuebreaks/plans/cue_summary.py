@@ -128,14 +128,15 @@ class _Hot:
 
 
 def _profile(cues: DataFrame, hot_rows: int, stage: Stage) -> tuple[DataFrame, _Hot]:
-    """Row counts by title and episode, and the hot keys they show."""
-    profile = cues.groupBy(*TITLE, "SeasonNumber", "EpisodeNumber", "_usable").agg(
+    """One row per title and episode with its number of cues, and the hot keys these show."""
+    # A count of staged Parquet reads footers only; no key of a small relation can be hot, and
+    # the cues themselves serve as their profile.
+    if cues.count() < hot_rows:
+        return cues, _Hot()
+    counted = cues.groupBy(*TITLE, "SeasonNumber", "EpisodeNumber", "_usable").agg(
         F.count(F.lit(1)).alias("_rows")
     )
-    # A count of staged Parquet reads footers only; no key of a small relation can be hot.
-    if cues.count() < hot_rows:
-        return profile, _Hot()
-    profile = stage.write(profile, "profile")
+    profile = stage.write(counted, "profile")
 
     def rows_by(*columns: str) -> HotKeys | None:
         return hot_keys(profile, columns, hot_rows, weight="_rows")

@@ -162,6 +162,19 @@ def test_summary_of_derived_inputs(spark, match):
     assert bag(cue_summary(*inputs, match, date, hot_rows=30)) == bag(plain)
 
 
+def test_summary_without_any_broadcast(spark):
+    inputs, date = cue_inputs(spark, SMALL), dt.date(2024, 1, 2)
+    plain = bag(cue_summary(*inputs, "normalized", date))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert bag(cue_summary(*inputs, "normalized", date)) == plain
+        assert bag(cue_summary(*inputs, "normalized", date, hot_rows=30)) == plain
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def test_summary_with_one_giant_episode(spark):
     """One series and season 0 hold everything: half without an asset id, half of one asset."""
     rows = [
