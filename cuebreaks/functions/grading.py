@@ -20,12 +20,20 @@ BAND_LABELS = (
 )
 BAND_LABEL_ABOVE = "150+"
 
-# Expected cue points of a title shorter than the given minutes, and above them all.
+# Expected cue points of a title shorter than the given minutes, for a movie and
+# for anything else, and of longer titles.
 MOVIE_GENRE = "Movies"
-MOVIE_SPEC = ((10, 0), (20, 2), (40, 3), (60, 5), (90, 8), (120, 8), (150, 10), (180, 13))
-MOVIE_SPEC_ABOVE = 15
-OTHER_SPEC = ((10, 0), (20, 2), (40, 3), (60, 5), (90, 6), (120, 8), (150, 10))
-OTHER_SPEC_ABOVE = 13
+SPECS = (
+    (10, 0, 0),
+    (20, 2, 2),
+    (40, 3, 3),
+    (60, 5, 5),
+    (90, 8, 6),
+    (120, 8, 8),
+    (150, 10, 10),
+    (180, 13, 13),
+)
+SPEC_ABOVE = (15, 13)
 SPEC_WITHOUT_DURATION = 0
 SPEC_WITHOUT_GENRE = 13
 
@@ -40,8 +48,8 @@ def _by_minutes(seconds: Column, steps, above) -> Column:
     """Value of the first step whose minutes exceed ``seconds``; compares whole seconds."""
     chain = F
     for minutes, value in steps:
-        chain = chain.when(seconds < minutes * 60, F.lit(value))
-    return chain.otherwise(F.lit(above))
+        chain = chain.when(seconds < minutes * 60, value)
+    return chain.otherwise(above)
 
 
 def duration_band(duration: Column | str, seconds: Column | str | None = None) -> Column:
@@ -65,11 +73,16 @@ def ad_spec(
     """
     seconds = whole_number(duration) if seconds is None else as_column(seconds)
     genre = as_column(genre)
+    is_movie = genre == MOVIE_GENRE
+
+    def by_genre(movie: int, other: int):
+        return movie if movie == other else F.when(is_movie, movie).otherwise(other)
+
+    steps = [(minutes, by_genre(movie, other)) for minutes, movie, other in SPECS]
     spec = (
-        F.when(as_column(duration).isNull(), F.lit(SPEC_WITHOUT_DURATION))
-        .when(genre.isNull() | seconds.isNull(), F.lit(SPEC_WITHOUT_GENRE))
-        .when(genre == MOVIE_GENRE, _by_minutes(seconds, MOVIE_SPEC, MOVIE_SPEC_ABOVE))
-        .otherwise(_by_minutes(seconds, OTHER_SPEC, OTHER_SPEC_ABOVE))
+        F.when(as_column(duration).isNull(), SPEC_WITHOUT_DURATION)
+        .when(genre.isNull() | seconds.isNull(), SPEC_WITHOUT_GENRE)
+        .otherwise(_by_minutes(seconds, steps, by_genre(*SPEC_ABOVE)))
     )
     return spec.cast("bigint")
 
@@ -78,19 +91,17 @@ def ad_grade(length: Column | str, spec: Column | str) -> Column:
     """Cue count against the expected count; NULL if either is unknown."""
     length, spec = as_column(length), as_column(spec)
     return (
-        F.when(length > spec, F.lit(ABOVE_SPEC))
-        .when(length == spec, F.lit(AT_SPEC))
-        .when(length < spec, F.lit(BELOW_SPEC))
+        F.when(length > spec, ABOVE_SPEC)
+        .when(length == spec, AT_SPEC)
+        .when(length < spec, BELOW_SPEC)
     )
 
 
 def content_type(raw_type: Column | str) -> Column:
     is_original = F.lower(as_column(raw_type)).contains(ORIGINAL_CONTENT_MARK)
-    return F.when(is_original, F.lit(ORIGINAL_CONTENT)).otherwise(F.lit(OTHER_CONTENT))
+    return F.when(is_original, ORIGINAL_CONTENT).otherwise(OTHER_CONTENT)
 
 
 def cue_label(length: Column | str) -> Column:
     """Label of a cue point; the text "NULL" (not a null) where the cue count is unknown."""
-    return F.when(as_column(length).isNull(), F.lit(CUE_WITHOUT_LENGTH)).otherwise(
-        F.lit(CUE_WITH_LENGTH)
-    )
+    return F.when(as_column(length).isNull(), CUE_WITHOUT_LENGTH).otherwise(CUE_WITH_LENGTH)

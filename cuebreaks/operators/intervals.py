@@ -30,7 +30,8 @@ def add_terminal_rows(
 
 
 def _window(partition: Sequence[str], order: Sequence[str]):
-    return Window.partitionBy(*partition).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    # Spark's ascending order puts NULL first.
+    return Window.partitionBy(*partition).orderBy(*order)
 
 
 def _in_pieces(

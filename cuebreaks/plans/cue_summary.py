@@ -223,7 +223,7 @@ def _describe(cues: DataFrame) -> DataFrame:
         "TypeOfContent": R.content_type("TypeOfContent"),
     }
     filled = fill_from_fallback(cues, GENRES, is_episode())
-    return filled.select(*[derived.get(c, F.col(c)).alias(c) for c in CORE])
+    return filled.select(*[derived[c].alias(c) if c in derived else c for c in CORE])
 
 
 def _with_ends(cues: DataFrame) -> DataFrame:
@@ -288,7 +288,7 @@ def _complete(breaks: DataFrame, run_date: dt.date | None) -> DataFrame:
     graded = breaks.withColumn("_seconds", R.whole_number(duration)).withColumn(
         "ad_spec", R.ad_spec(duration, "Primary_Genre", "_seconds")
     )
-    return graded.select(*[derived.get(c, F.col(c)).alias(c) for c in SUMMARY.names])
+    return graded.select(*[derived[c].alias(c) if c in derived else c for c in SUMMARY.names])
 
 
 def cue_summary(
