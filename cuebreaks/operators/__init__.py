@@ -27,7 +27,7 @@ from cuebreaks.operators.lookups import (
     title_lookup,
 )
 from cuebreaks.operators.ordering import presentation_order
-from cuebreaks.operators.skew import HotKeys, hot_keys, join_on, spread
+from cuebreaks.operators.skew import HotKeys, find_hot, hot_keys, join_on, spread
 from cuebreaks.operators.versions import (
     current_versions,
     dedup_full_row,
@@ -44,6 +44,7 @@ __all__ = [
     "current_versions",
     "dedup_full_row",
     "fill_from_fallback",
+    "find_hot",
     "group_fallback",
     "group_fallback_fill",
     "group_max",

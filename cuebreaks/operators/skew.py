@@ -106,7 +106,8 @@ def join_on(
 
     Whether the right side is broadcast is Spark's choice, from measured sizes. If it is
     shuffled instead, rows of the ``hot`` left keys are salted and the matching right
-    rows repeated once per piece. ``hot`` may be keyed by a subset of the left columns.
+    rows repeated once per piece. Count ``hot`` on ``left`` by the join's own columns: then
+    the repeated rows are few against the rows the join returns.
     """
     pairs = dict(on)
     right = right.withColumnsRenamed({r: f"_on_{r}" for r in pairs.values()})

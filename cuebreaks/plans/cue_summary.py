@@ -21,6 +21,7 @@ from cuebreaks.operators import (
     add_terminal_rows,
     attach_fallback,
     fill_from_fallback,
+    find_hot,
     group_max,
     hot_keys,
     interval_since,
@@ -119,10 +120,12 @@ def current_cues(cues: DataFrame, corrections: DataFrame, hot_rows: int = HOT_RO
 
 @dataclass(frozen=True)
 class _Hot:
-    """Hot keys of the staged cues, by what the later steps partition on."""
+    """Where to expect hot keys: among the cues (by title, by episode) and among the titles.
 
-    asset: HotKeys | None = None
-    series: HotKeys | None = None
+    ``threshold`` is None for small inputs, which need no search.
+    """
+
+    threshold: int | None = None
     title: HotKeys | None = None
     episode: HotKeys | None = None
 
@@ -138,19 +141,18 @@ def _profile(cues: DataFrame, hot_rows: int, stage: Stage) -> tuple[DataFrame, _
     )
     profile = stage.write(counted, "profile")
 
-    def rows_by(*columns: str) -> HotKeys | None:
+    def rows_by(columns: tuple[str, ...]) -> HotKeys | None:
         return hot_keys(profile, columns, hot_rows, weight="_rows")
 
-    return profile, _Hot(rows_by(ASSET), rows_by(SERIES), rows_by(*TITLE), rows_by(*EPISODE))
+    return profile, _Hot(hot_rows, rows_by(TITLE), rows_by(EPISODE))
 
 
-def _terminals(
-    cues: DataFrame, asked: DataFrame, metadata: DataFrame, match: str, hot: HotKeys | None
-) -> DataFrame:
+def _terminals(cues: DataFrame, asked: DataFrame, metadata: DataFrame, match: str) -> DataFrame:
     """Multipliers by (asset, position), for the positions that some title asks for.
 
     Built on the expected count *before* the backfill, and on all assets, also those whose
-    name excludes them from the result.
+    name excludes them from the result. Both sides of both joins are shuffled for the join
+    alone, so adaptive execution can split a hot asset here.
     """
     positions = cues.filter(F.col(ASSET).isNotNull()).select(
         ASSET,
@@ -161,9 +163,9 @@ def _terminals(
     # Most cues are not at an asked position, so they are sifted before anything else.
     wanted = asked.select(ASSET, "_length")
     on = [(ASSET, ASSET), ("_position", "_length")]
-    candidates = join_on(positions, wanted, on, how="left_semi", hot=hot).distinct()
+    candidates = join_on(positions, wanted, on, how="left_semi").distinct()
     described = metadata_join(
-        candidates, metadata, ASSET, "ContentID", ["Primary_Genre"], match, hot
+        candidates, metadata, ASSET, "ContentID", ["Primary_Genre"], match, hot=None
     )
     graded = described.withColumn("_seconds", R.whole_number("assetDuration")).withColumn(
         "_spec", R.ad_spec("assetDuration", "Primary_Genre", "_seconds")
@@ -176,38 +178,34 @@ def title_attributes(
     profile: DataFrame,
     metadata: DataFrame,
     match: str,
-    hot: _Hot,
+    hot: int | None,
     stage: Stage,
 ) -> DataFrame:
     """Everything joined to a cue, by series, asset and cue count.
 
     Metadata, the series' fallback for it, the multipliers of the terminal row, and the
-    asset's longest content.
+    asset's longest content. The hot keys of each join are counted on its own left side, so
+    that a key is never split further than its rows call for.
     """
     asked = (
         profile.filter("_usable").groupBy(*TITLE).agg(F.max(is_episode()).alias("_is_episode"))
     )
+    columns = [*GENRES, "TypeOfContent", "Distributor"]
     described = stage.write(
-        metadata_join(
-            asked,
-            metadata,
-            ASSET,
-            "ContentID",
-            [*GENRES, "TypeOfContent", "Distributor"],
-            match,
-            hot.asset,
-        ),
-        "titles",
+        metadata_join(asked, metadata, ASSET, "ContentID", columns, match, hot), "titles"
     )
     with_fallback = attach_fallback(
-        described, SERIES, GENRES, F.col("_is_episode"), hot.series
+        described, SERIES, GENRES, F.col("_is_episode"), find_hot(described, [SERIES], hot)
     ).drop("_is_episode")
     segments = R.content_segments("cuePointLength", "contentTimePosition", "assetDuration")
     longest = group_max(cues, ASSET, segments, "Content_Segments_MAX")
-    terminals = _terminals(cues, described, metadata, match, hot.asset)
-    attributed = join_on(with_fallback, longest, [(ASSET, ASSET)], hot=hot.asset)
+    by_asset = find_hot(described, [ASSET], hot)
+    with_longest = join_on(with_fallback, longest, [(ASSET, ASSET)], hot=by_asset)
     return join_on(
-        attributed, terminals, [(ASSET, ASSET), ("_length", "_position")], hot=hot.asset
+        with_longest,
+        _terminals(cues, described, metadata, match),
+        [(ASSET, ASSET), ("_length", "_position")],
+        hot=find_hot(described, [ASSET, "_length"], hot),
     )
 
 
@@ -311,7 +309,8 @@ def cue_summary(
     current = stage.write(current_cues(cues, corrections, hot_rows), "cues")
     profile, hot = _profile(current, hot_rows, stage)
     attributes = stage.write(
-        title_attributes(current, profile, metadata, metadata_match, hot, stage), "attributes"
+        title_attributes(current, profile, metadata, metadata_match, hot.threshold, stage),
+        "attributes",
     )
     breaks = _with_previous(current.filter("_usable").drop("_usable"), attributes, hot, stage)
     return _complete(breaks, run_date)
