@@ -238,7 +238,14 @@ def break_interval(cues: DataFrame) -> DataFrame:
 
 
 def event_gaps(events: DataFrame) -> DataFrame:
-    seconds = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).cast("double")
+    # The difference of two zone-less times does not depend on the session's time zone.
+    since = F.col("ts") - F.lit("1970-01-01").cast("timestamp_ntz")
+
+    def part(unit: str):
+        return F.extract(F.lit(unit), since)
+
+    minutes = (part("DAY") * 24 + part("HOUR")) * 60 + part("MINUTE")
+    seconds = (minutes.cast("bigint") * 60 + F.floor(part("SECOND"))).cast("double")
     timed = events.select("event_id", "user_id", seconds.alias("seconds"))
     return ops.break_interval(
         timed, "seconds", ["user_id"], ["seconds", "event_id"], "previous_seconds", "gap"
