@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuebreaks.llm import exact_dedup, sharding
+from cuebreaks.llm import exact_dedup, packing, sharding
 from cuebreaks.llm.inputs import table
 from cuebreaks.llm.oracle import ORACLE_SQL
 
@@ -20,6 +20,18 @@ def _registered(query: Query) -> Query:
     return query
 
 
+def word_tokenizer() -> str:
+    """The vocabulary file named by the contract; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@_registered
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
+
+
 @_registered
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
