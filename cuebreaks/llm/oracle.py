@@ -54,7 +54,49 @@ FROM escaped
 GROUP BY conv_id
 """
 
+OP7 = r"""
+WITH folded AS (
+  SELECT doc_id,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+item AS (
+  SELECT item_id,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+),
+item_window AS (
+  SELECT DISTINCT item_id, unnest([w[s : s + 9] FOR s IN range(1, greatest(len(w) - 9, 1) + 1)]) AS terms
+  FROM item WHERE len(w) > 0
+),
+size AS (SELECT DISTINCT len(terms) AS n FROM item_window),
+doc_window AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS s, unnest([w[p : p + n - 1] FOR p IN range(1, len(w) - n + 2)]) AS terms
+  FROM folded, size WHERE len(w) >= n
+),
+hit AS (
+  SELECT d.doc_id, d.s, d.n, i.item_id FROM doc_window d JOIN item_window i USING (terms)
+),
+covered AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + n)) AS pos FROM hit) GROUP BY doc_id
+),
+listed AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+    string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items
+  FROM hit GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM folded LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_chat_formatting": OP3,
     "op6_exact_dedup": OP6,
+    "op7_decontamination": OP7,
 }

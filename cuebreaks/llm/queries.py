@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuebreaks.llm import chat, exact_dedup, langid, packing, sharding
+from cuebreaks.llm import chat, decontam, exact_dedup, langid, packing, sharding
 from cuebreaks.llm.inputs import table
 from cuebreaks.llm.oracle import ORACLE_SQL
 
@@ -65,6 +65,21 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@_registered
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def _held_out(rest: int, divisor: int) -> Column:
     """Whether the checksum of the id leaves ``rest``: such rows are not learned from."""
     checksum = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
