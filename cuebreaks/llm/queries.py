@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuebreaks.llm import chat, decontam, exact_dedup, langid, packing, sharding
+from cuebreaks.llm import chat, decontam, exact_dedup, langid, packing, pii, sharding
 from cuebreaks.llm.inputs import table
 from cuebreaks.llm.oracle import ORACLE_SQL
 
@@ -93,6 +93,24 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, profiles, keep=["doc_id", "held_out"])
 
 
+@_registered
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    line = lambda kind, s: F.concat_ws(":", kind, s["start"], s["end"])
+    base = F.transform("base", lambda s: line(s["kind"], s))
+    terms = F.transform("terms", lambda s: line(F.lit("term"), s))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, pii.KINDS),
+        F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
+        F.array_join(F.concat(base, terms), ",").alias("spans"),
+    )
+
+
 @_registered
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_by_bytes(table(spark, sf_dir, "documents"), shards=40)
