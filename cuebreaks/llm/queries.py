@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuebreaks.llm import chat, decontam, exact_dedup, langid, packing, pii, sharding
+from cuebreaks.llm import chat, decontam, exact_dedup, langid, packing, pii, sharding, simhash
 from cuebreaks.llm.inputs import table
 from cuebreaks.llm.oracle import ORACLE_SQL
 
@@ -59,6 +59,13 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_registered
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("bits"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 @_registered
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
