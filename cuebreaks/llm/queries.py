@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuebreaks.llm import chat, decontam, exact_dedup, langid, packing, pii, sharding, simhash, toxicity
+from cuebreaks.llm import chat, decontam, exact_dedup, langid, packing, pii, sharding, simhash, suffix_dedup, toxicity
 from cuebreaks.llm.inputs import table
 from cuebreaks.llm.oracle import ORACLE_SQL
 
@@ -84,6 +84,18 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+@_registered
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @_registered
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
