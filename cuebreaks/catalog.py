@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuebreaks import functions as R
@@ -237,19 +237,40 @@ def break_interval(cues: DataFrame) -> DataFrame:
     return ops.break_interval(with_ends, "contentTimePosition", EPISODE, order)
 
 
-def event_gaps(events: DataFrame) -> DataFrame:
-    # The difference of two zone-less times does not depend on the session's time zone.
-    since = F.col("ts") - F.lit("1970-01-01").cast("timestamp_ntz")
+def _micros(time: str) -> Column:
+    """Micro-seconds since 1970 of a zone-less time, in any session time zone."""
+    since = F.col(time) - F.lit("1970-01-01").cast("timestamp_ntz")
 
-    def part(unit: str):
+    def part(unit: str) -> Column:
         return F.extract(F.lit(unit), since)
 
-    minutes = (part("DAY") * 24 + part("HOUR")) * 60 + part("MINUTE")
-    seconds = (minutes.cast("bigint") * 60 + F.floor(part("SECOND"))).cast("double")
-    timed = events.select("event_id", "user_id", seconds.alias("seconds"))
+    minutes = ((part("DAY") * 24 + part("HOUR")) * 60 + part("MINUTE")).cast("bigint")
+    return minutes * 60_000_000 + (part("SECOND") * 1_000_000).cast("bigint")
+
+
+def event_gaps(events: DataFrame) -> DataFrame:
+    timed = events.select("event_id", "user_id", _micros("ts").alias("micros"))
     return ops.break_interval(
-        timed, "seconds", ["user_id"], ["seconds", "event_id"], "previous_seconds", "gap"
+        timed, "micros", ["user_id"], ["micros", "event_id"], "previous_micros", "gap_micros"
+    )
+
+
+def run_date_instants(events: DataFrame) -> DataFrame:
+    """The stamp for each event's time, taken as UTC."""
+    instant = F.timestamp_micros(_micros("ts"))
+    return events.select("event_id", R.run_date_stamp(instant=instant).alias("updated_date"))
+
+
+def exclude_name_documents(documents: DataFrame) -> DataFrame:
+    """Names that are whole texts, into some of which the words are put that retire a name."""
+    words = F.element_at(
+        F.array(*[F.lit(w) for w in (" DO NOT USE ", " do-not-use ", " DoNotUse", " use not do ")]),
+        (F.col("doc_id") % 4 + 1).cast("int"),
     )
+    half = (F.length("text") / 2).cast("int")
+    marked = F.concat(F.substring("text", F.lit(1), half), words, F.substring("text", half + 1, F.length("text")))
+    text = F.when(F.col("doc_id") % 5 == 0, marked).otherwise(F.col("text"))
+    return documents.withColumn("text", text).filter(R.usable_name("text"))
 
 
 def replace_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,9 +364,7 @@ QUERIES: dict[str, Query] = {
             "assetExternalID", "assetName", "cuePointPosition"
         )
     ),
-    "exclude_name_documents": _on_table(
-        "documents", lambda documents: documents.filter(R.usable_name("text"))
-    ),
+    "exclude_name_documents": _on_table("documents", exclude_name_documents),
     "metadata_join_exact": _metadata_join("exact"),
     "metadata_join_normalized": _metadata_join("normalized"),
     "next_position_lookup": _on_table("lineitem", next_position_lookup),
@@ -369,6 +388,7 @@ QUERIES: dict[str, Query] = {
             "assetExternalID", R.run_date_stamp(RUN_DATE).alias("updated_date")
         )
     ),
+    "run_date_instants": _on_table("events", run_date_instants),
     "presentation_order": _on_table(
         "orders",
         lambda orders: ops.presentation_order(

@@ -53,17 +53,25 @@ def metadata_join(
     content_id: str,
     columns: Sequence[str],
     match: str = "exact",
-    hot: HotKeys | int | None = HOT_ROWS,
+    hot: HotKeys | int | None = None,
 ) -> DataFrame:
     """Attach title metadata to rows with a normalized ``asset_id``.
 
     ``exact`` only lower-cases the metadata id; ``normalized`` also strips its format
-    suffixes, which finds more titles and may find several per asset.
+    suffixes, which finds more titles and may find several per asset. Without ``hot``
+    adaptive execution splits a hot asset, unless the result is grouped by the asset as it is.
     """
     titles = title_lookup(metadata, content_id, columns, match)
     return join_on(df, titles, [(asset_id, TITLE_KEY)], hot=find_hot(df, [asset_id], hot))
 
 
+def _hot_pairs(df: DataFrame, key: str, second: str, hot: HotKeys | int | None) -> HotKeys | None:
+    """Hot pairs, counted only if the key alone is hot: pairs are nearly unique, keys are few."""
+    if isinstance(hot, int) and find_hot(df, [key], hot) is None:
+        return None
+    return find_hot(df, [key, second], hot)
+
+
 def next_position_lookup(
     df: DataFrame,
     key: str,
@@ -83,7 +91,7 @@ def next_position_lookup(
         F.col(value).alias(out),
     )
     following = following.dropna(subset=["_key", "_before"]).distinct()
-    hot = find_hot(df, [key, position], hot)
+    hot = _hot_pairs(df, key, position, hot)
     return join_on(df, following, [(key, "_key"), (position, "_before")], hot=hot)
 
 
@@ -115,7 +123,7 @@ def terminal_position_lookup(
     row do not multiply the result.
     """
     quotients = terminal_quotients(df, key, position, length, spec)
-    hot = find_hot(df, [key, length], hot)
+    hot = _hot_pairs(df, key, length, hot)
     return join_on(df, quotients, [(key, key), (length, position)], hot=hot)
 
 

@@ -1,9 +1,8 @@
 """Hot keys: find them with one pre-aggregated count, then spread their rows.
 
-A key is hot when it holds at least ``hot_rows`` rows. At most ``MAX_HOT_KEYS`` of the
-largest ones are taken, so the list that gets broadcast has a fixed bound. Every key
-beyond the list holds less than ``1 / MAX_HOT_KEYS`` of the rows and takes the ordinary
-shuffle, so results are whole either way.
+A key is hot when it holds at least ``hot_rows`` rows, so there are at most rows / ``hot_rows`` hot
+keys: that bounds the list that gets broadcast (500,000 keys for 10^12 rows), and no key above the
+threshold is left out.
 """
 
 from __future__ import annotations
@@ -16,8 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 10_000
-MAX_PIECES = 10_000
 
 PIECES = "_pieces"
 SALT = "_salt"
@@ -58,7 +55,7 @@ def hot_keys(
     """Keys with at least ``hot_rows`` rows (or summed ``weight``); None when there are none.
 
     ``extra`` are further aggregates to keep per hot key. Runs one job that counts with
-    map-side partial aggregation and brings at most ``MAX_HOT_KEYS`` rows to the driver.
+    map-side partial aggregation and brings the hot keys alone to the driver.
     """
     rows = F.sum(weight) if weight else F.count(F.lit(1))
     extra = {name: column.alias(name) for name, column in (extra or {}).items()}
@@ -66,17 +63,14 @@ def hot_keys(
         df.groupBy(*columns)
         .agg(rows.alias("_rows"), *extra.values())
         .filter(F.col("_rows") >= hot_rows)
-        .orderBy(F.col("_rows").desc())
-        .limit(MAX_HOT_KEYS)
-        .withColumn(PIECES, F.least(F.ceil(F.col("_rows") / hot_rows), F.lit(MAX_PIECES)).cast("int"))
+        .withColumn(PIECES, F.ceil(F.col("_rows") / hot_rows).cast("int"))
         .select(*columns, *extra, PIECES)
     )
     found = heaviest.toArrow()
     if not found.num_rows:
         return None
     keys = df.sparkSession.createDataFrame(found, heaviest.schema)
-    pieces = min(MAX_PIECES, sum(found.column(PIECES).to_pylist()))
-    return HotKeys(tuple(columns), keys, pieces)
+    return HotKeys(tuple(columns), keys, sum(found.column(PIECES).to_pylist()))
 
 
 def find_hot(df: DataFrame, columns: Sequence[str], hot: HotKeys | int | None) -> HotKeys | None:

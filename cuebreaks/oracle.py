@@ -59,6 +59,7 @@ metadata AS (
          c_mktsegment AS "Distributor"
   FROM titles WHERE k % 19 <> 0
 ),
+-- Fixed values: bounds, labels and specs of the duration bands.
 bands (lo, hi, label, movie_spec, other_spec) AS (
   VALUES (-9e15::BIGINT, 600, '< 10', 0, 0), (600, 1200, '10-19', 2, 2),
          (1200, 2400, '20-39', 3, 3), (2400, 3600, '40-59', 5, 5), (3600, 5400, '60-89', 8, 6),
@@ -72,6 +73,7 @@ open_cues AS (
 
 def norm(column: str) -> str:
     stripped = column
+    # Format suffixes.
     for suffix in ("_UHDDV", "_HDSDR", "_UHDSDR", "_UHDHDR"):
         stripped = f"replace({stripped}, '{suffix}', '')"
     return f"lower({stripped})"
@@ -109,6 +111,7 @@ SEGMENTS = """CASE WHEN "cuePointLength" IS NULL THEN "assetDuration"
     ELSE ("assetDuration" - "contentTimePosition") / 60 END"""
 SEGMENTS_FRACTION = """CASE WHEN "cuePointLength" IS NULL THEN "assetDuration"
     ELSE ("assetDuration" - "contentTimePosition") / nullif("assetDuration", 0) END"""
+# The labels of long titles and of origins.
 BAND_LABEL = """CASE WHEN "assetDuration" IS NOT NULL THEN coalesce(band.label, '150+') END"""
 ORIGIN = """CASE WHEN lower("TypeOfContent") LIKE '%d2c%' THEN 'Peacock Original'
     ELSE 'Others' END"""
@@ -342,7 +345,10 @@ FROM cues {in_band('"assetDuration"', 'band')}"""
             """SELECT "assetExternalID", "assetName", "cuePointPosition" FROM cues
 WHERE lower("assetName") NOT LIKE '%do%not%use%'"""
         ),
-        "exclude_name_documents": """SELECT * FROM documents
+        "exclude_name_documents": """SELECT * FROM (SELECT * REPLACE (
+    CASE WHEN doc_id % 5 = 0 THEN concat(text[1 : length(text) // 2],
+      [' DO NOT USE ', ' do-not-use ', ' DoNotUse', ' use not do '][doc_id % 4 + 1],
+      text[length(text) // 2 + 1 :]) ELSE text END AS text) FROM documents)
 WHERE lower(text) NOT LIKE '%do%not%use%'""",
         "metadata_join_exact": _metadata_join('lower("ContentID")'),
         "metadata_join_normalized": _metadata_join(norm('"ContentID"')),
@@ -427,10 +433,12 @@ followed AS (
 SELECT *, {two_decimals('"contentTimePosition" - coalesce("Last_contentTimePosition", 0)')}
   AS "Ad_Breaks_Interval" FROM followed"""
         ),
-        "event_gaps": """SELECT event_id, user_id, seconds, before AS previous_seconds,
-  seconds - coalesce(before, 0) AS gap
-FROM (SELECT *, lag(seconds) OVER (PARTITION BY user_id ORDER BY seconds, event_id) AS before
-      FROM (SELECT event_id, user_id, floor(epoch(ts))::DOUBLE AS seconds FROM events))""",
+        "event_gaps": """SELECT event_id, user_id, micros, before AS previous_micros,
+  micros - coalesce(before, 0) AS gap_micros
+FROM (SELECT *, lag(micros) OVER (PARTITION BY user_id ORDER BY micros, event_id) AS before
+      FROM (SELECT event_id, user_id, epoch_us(ts) AS micros FROM events))""",
+        "run_date_instants": """SELECT event_id,
+  CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS DATE) - 1 AS updated_date FROM events""",
         "run_date_stamp": _derived(
             f"""SELECT "assetExternalID", DATE '{run_date}' - 1 AS updated_date FROM cues"""
         ),

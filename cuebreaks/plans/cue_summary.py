@@ -1,15 +1,15 @@
 """The cue-point summary: one row per break and per end of video, graded and with its interval.
 
-The wide relation of cue points is shuffled three times at most: to rank snapshots, to
-receive the title attributes, and to order the breaks of an episode. Everything else that
-the summary needs from joins and groups (metadata, backfill, multipliers, longest content)
-is worked out on relations of titles, which have one row where the cues have many.
+The wide relation of cue points is shuffled four times at most: to rank snapshots, to find the
+terminal rows, to receive the title attributes (neither if Spark broadcasts the titles), and to order the
+breaks of an episode. Everything else that the summary needs from joins and groups (metadata, backfill,
+multipliers, longest content) is worked out on relations of titles, which have one row where the cues
+have many.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,11 +17,9 @@ from pyspark.sql import functions as F
 from cuebreaks import functions as R
 from cuebreaks.functions.grading import CUE_WITHOUT_LENGTH
 from cuebreaks.operators import (
-    HotKeys,
     add_terminal_rows,
     attach_fallback,
     fill_from_fallback,
-    find_hot,
     group_max,
     hot_keys,
     interval_since,
@@ -118,41 +116,22 @@ def current_cues(cues: DataFrame, corrections: DataFrame, hot_rows: int = HOT_RO
     )
 
 
-@dataclass(frozen=True)
-class _Hot:
-    """Where to expect hot keys: among the cues (by title, by episode) and among the titles.
-
-    ``threshold`` is None for small inputs, which need no search.
-    """
-
-    threshold: int | None = None
-    title: HotKeys | None = None
-    episode: HotKeys | None = None
-
-
-def _profile(cues: DataFrame, hot_rows: int, stage: Stage) -> tuple[DataFrame, _Hot]:
-    """One row per title and episode with its number of cues, and the hot keys these show."""
-    # A count of staged Parquet reads footers only; no key of a small relation can be hot, and
-    # the cues themselves serve as their profile.
-    if cues.count() < hot_rows:
-        return cues, _Hot()
+def _profile(cues: DataFrame, stage: Stage) -> DataFrame:
+    """One row per title and episode, with the longest content among its cues."""
+    segments = R.content_segments("cuePointLength", "contentTimePosition", "assetDuration")
     counted = cues.groupBy(*TITLE, "SeasonNumber", "EpisodeNumber", "_usable").agg(
-        F.count(F.lit(1)).alias("_rows")
+        F.max(segments).alias("_longest")
     )
-    profile = stage.write(counted, "profile")
-
-    def rows_by(columns: tuple[str, ...]) -> HotKeys | None:
-        return hot_keys(profile, columns, hot_rows, weight="_rows")
+    return stage.write(counted, "profile")
 
-    return profile, _Hot(hot_rows, rows_by(TITLE), rows_by(EPISODE))
 
-
-def _terminals(cues: DataFrame, asked: DataFrame, metadata: DataFrame, match: str) -> DataFrame:
+def _terminals(
+    cues: DataFrame, asked: DataFrame, metadata: DataFrame, match: str, stage: Stage
+) -> DataFrame:
     """Multipliers by (asset, position), for the positions that some title asks for.
 
     Built on the expected count *before* the backfill, and on all assets, also those whose
-    name excludes them from the result. Both sides of both joins are shuffled for the join
-    alone, so adaptive execution can split a hot asset here.
+    name excludes them from the result.
     """
     positions = cues.filter(F.col(ASSET).isNotNull()).select(
         ASSET,
@@ -160,12 +139,13 @@ def _terminals(cues: DataFrame, asked: DataFrame, metadata: DataFrame, match: st
         "_length",
         "assetDuration",
     )
-    # Most cues are not at an asked position, so they are sifted before anything else.
+    # Most cues are not at an asked position, so they are sifted before anything else. The matches are
+    # written as they are: with nothing grouped on top, adaptive execution may split a hot asset.
     wanted = asked.select(ASSET, "_length")
     on = [(ASSET, ASSET), ("_position", "_length")]
-    candidates = join_on(positions, wanted, on, how="left_semi").distinct()
+    matches = stage.write(join_on(positions, wanted, on, how="left_semi"), "terminal-cues")
     described = metadata_join(
-        candidates, metadata, ASSET, "ContentID", ["Primary_Genre"], match, hot=None
+        matches.distinct(), metadata, ASSET, "ContentID", ["Primary_Genre"], match
     )
     graded = described.withColumn("_seconds", R.whole_number("assetDuration")).withColumn(
         "_spec", R.ad_spec("assetDuration", "Primary_Genre", "_seconds")
@@ -174,38 +154,30 @@ def _terminals(cues: DataFrame, asked: DataFrame, metadata: DataFrame, match: st
 
 
 def title_attributes(
-    cues: DataFrame,
-    profile: DataFrame,
-    metadata: DataFrame,
-    match: str,
-    hot: int | None,
-    stage: Stage,
+    cues: DataFrame, profile: DataFrame, metadata: DataFrame, match: str, stage: Stage
 ) -> DataFrame:
     """Everything joined to a cue, by series, asset and cue count.
 
     Metadata, the series' fallback for it, the multipliers of the terminal row, and the
-    asset's longest content. The hot keys of each join are counted on its own left side, so
-    that a key is never split further than its rows call for.
+    asset's longest content. All joins are of titles, and each is followed by a shuffle or a write, so
+    adaptive execution splits what is hot.
     """
     asked = (
         profile.filter("_usable").groupBy(*TITLE).agg(F.max(is_episode()).alias("_is_episode"))
     )
     columns = [*GENRES, "TypeOfContent", "Distributor"]
     described = stage.write(
-        metadata_join(asked, metadata, ASSET, "ContentID", columns, match, hot), "titles"
+        metadata_join(asked, metadata, ASSET, "ContentID", columns, match), "titles"
     )
     with_fallback = attach_fallback(
-        described, SERIES, GENRES, F.col("_is_episode"), find_hot(described, [SERIES], hot)
+        described, SERIES, GENRES, F.col("_is_episode")
     ).drop("_is_episode")
-    segments = R.content_segments("cuePointLength", "contentTimePosition", "assetDuration")
-    longest = group_max(cues, ASSET, segments, "Content_Segments_MAX")
-    by_asset = find_hot(described, [ASSET], hot)
-    with_longest = join_on(with_fallback, longest, [(ASSET, ASSET)], hot=by_asset)
+    longest = group_max(profile, ASSET, "_longest", "Content_Segments_MAX")
+    with_longest = join_on(with_fallback, longest, [(ASSET, ASSET)])
     return join_on(
         with_longest,
-        _terminals(cues, described, metadata, match),
+        _terminals(cues, described, metadata, match, stage),
         [(ASSET, ASSET), ("_length", "_position")],
-        hot=find_hot(described, [ASSET, "_length"], hot),
     )
 
 
@@ -233,32 +205,36 @@ def _with_ends(cues: DataFrame) -> DataFrame:
             "contentTimePosition": F.col("assetDuration"),
         },
         blank=TERMINAL_BLANK,
-    ).distinct()
+    )
 
 
-def _with_previous(cues: DataFrame, attributes: DataFrame, hot: _Hot, stage: Stage) -> DataFrame:
-    time, previous = "contentTimePosition", "Last_contentTimePosition"
-    attributed_on = [(c, c) for c in TITLE]
+def _with_previous(
+    cues: DataFrame, attributes: DataFrame, hot_rows: int, stage: Stage
+) -> DataFrame:
+    """The breaks in their episode's order, each with the time of the one before.
 
-    def described(part: DataFrame) -> DataFrame:
-        return _describe(join_on(part, attributes, attributed_on, "inner", hot.title, True))
+    Episodes are counted on the very rows that are ordered: after metadata has multiplied them, and
+    twice, for their end-of-video rows.
+    """
+    time, previous = "contentTimePosition", "Last_contentTimePosition"
+    on = [(c, c) for c in TITLE]
+    joined = _describe(join_on(cues, attributes, on, "inner", None, True))
+    # Written with nothing grouped on top, so adaptive execution may split a hot title.
+    described = stage.write(joined, "described")
+    hot = hot_keys(described.withColumn("_rows", F.lit(2)), EPISODE, hot_rows, weight="_rows")
 
     def in_order(part: DataFrame) -> DataFrame:
         # One shuffle serves the terminal rows, the duplicate removal and the window.
-        ends = _with_ends(described(part).repartition(*EPISODE))
+        ends = _with_ends(part.repartition(*EPISODE)).distinct()
         return previous_in_order(ends, time, EPISODE, BREAK_ORDER, previous)
 
-    if hot.episode is None:
-        return in_order(cues)
-    ordinary, busy = hot.episode.split(cues)
+    if hot is None:
+        return in_order(described)
+    ordinary, busy = hot.split(described)
+    # Copies, such as the many equal end-of-video rows of one asset, are merged before they move.
+    ends = _with_ends(busy).distinct()
     in_pieces = previous_in_pieces(
-        _with_ends(described(busy)),
-        time,
-        EPISODE,
-        BREAK_ORDER,
-        previous,
-        hot.episode.total_pieces,
-        stage,
+        ends, time, EPISODE, BREAK_ORDER, previous, hot.total_pieces, stage
     )
     return in_order(ordinary).unionByName(in_pieces)
 
@@ -301,18 +277,17 @@ def cue_summary(
     """The 31-column summary.
 
     ``metadata_match`` is ``exact`` or ``normalized`` (see ``metadata_join``). Relations that
-    several steps read are written to ``stage`` while the plan is built; release it after the
-    result has been written. Keys with ``hot_rows`` rows or more are processed in pieces.
+    several steps read are written to ``stage`` while the plan is built; release it (or, without one,
+    call ``release_staged``) after the result has been written. Keys with ``hot_rows`` rows or more are processed in pieces.
     """
     stage = stage or Stage(cues.sparkSession)
     metadata = check_schema(metadata, METADATA, "metadata")
     current = stage.write(current_cues(cues, corrections, hot_rows), "cues")
-    profile, hot = _profile(current, hot_rows, stage)
+    profile = _profile(current, stage)
     attributes = stage.write(
-        title_attributes(current, profile, metadata, metadata_match, hot.threshold, stage),
-        "attributes",
+        title_attributes(current, profile, metadata, metadata_match, stage), "attributes"
     )
-    breaks = _with_previous(current.filter("_usable").drop("_usable"), attributes, hot, stage)
+    breaks = _with_previous(current.filter("_usable").drop("_usable"), attributes, hot_rows, stage)
     return _complete(breaks, run_date)
 
 
@@ -329,9 +304,11 @@ def build_summary_table(
 ) -> None:
     """Read the three input tables, replace ``target`` by the summary, free the staged data."""
     sources = (cues, corrections, metadata)
-    check_target(target, sources)
+    check_target(spark, target, sources)
     stage = Stage(spark)
     inputs = [read_table(spark, name) for name in sources]
-    summary = cue_summary(*inputs, metadata_match, run_date, stage)
-    replace_table(summary, target, sources, partition_by, atomic)
-    stage.release()
+    try:
+        summary = cue_summary(*inputs, metadata_match, run_date, stage)
+        replace_table(summary, target, sources, partition_by, atomic)
+    finally:
+        stage.release()

@@ -1,7 +1,7 @@
 """Inputs, staged relations and the target table."""
 
 from cuebreaks.sources.schemas import CORRECTIONS, CUES, METADATA, SUMMARY, check_schema
-from cuebreaks.sources.staging import Stage, shared_dir
+from cuebreaks.sources.staging import Stage, release_staged, shared_dir
 from cuebreaks.sources.tables import read_table, replace_table
 
 __all__ = [
@@ -12,6 +12,7 @@ __all__ = [
     "Stage",
     "check_schema",
     "read_table",
+    "release_staged",
     "replace_table",
     "shared_dir",
 ]

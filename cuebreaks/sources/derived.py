@@ -26,6 +26,7 @@ class CueInputs(NamedTuple):
     metadata: DataFrame
 
 
+# Test inputs only: kept for the life of the application, so that each query reads the same files.
 _STAGED: dict[tuple[str, str], CueInputs] = {}
 
 
@@ -138,7 +139,7 @@ def cue_inputs(spark: SparkSession, sf_dir: str) -> CueInputs:
     """The three inputs as written tables, derived once per application and scale."""
     key = (spark.conf.get("spark.app.id"), sf_dir)
     if key not in _STAGED:
-        stage = Stage(spark)
+        stage = Stage(spark, lasting=True)
         _STAGED[key] = CueInputs(
             stage.write(derive_cues(spark, sf_dir), "cues"),
             stage.write(derive_corrections(spark, sf_dir), "corrections"),

@@ -12,6 +12,7 @@ def _schema(*columns: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns])
 
 
+# The names and their order in all lists of this file.
 # Times are in seconds; an open version ends in the year 9999, hence no time zone.
 CUES = _schema(
     ("seriesTitle", T.StringType()),

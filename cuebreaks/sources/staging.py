@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, tempfile.TemporaryDirectory] = {}
+_OPEN: list[Stage] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -19,7 +21,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     app = spark.conf.get("spark.app.id")
     if app not in _LOCAL_DIRS:
@@ -35,10 +37,13 @@ class Stage:
     column pruning, and carries its file size, so Spark can size its joins.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, lasting: bool = False):
         self.spark = spark
+        self.app = spark.conf.get("spark.app.id")
         self.root = f"{root or shared_dir(spark)}/cuebreaks-stage/{uuid.uuid4().hex}"
         self._written: list[tuple[str, DataFrame]] = []
+        if not lasting:  # else it stays until released by name
+            _OPEN.append(self)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{len(self._written):02d}-{name}"
@@ -53,3 +58,15 @@ class Stage:
             empty = self.spark.createDataFrame([], staged.schema)
             empty.write.mode("overwrite").parquet(path)
         self._written.clear()
+        if self in _OPEN:
+            _OPEN.remove(self)
+
+
+def release_staged(spark: SparkSession) -> None:
+    """Release what operators staged in this application without being handed a stage.
+
+    Call it when the results that read those relations have been written.
+    """
+    app = spark.conf.get("spark.app.id")
+    for stage in [s for s in _OPEN if s.app == app]:
+        stage.release()

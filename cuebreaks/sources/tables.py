@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +17,75 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(table) if is_path(table) else spark.table(table)
 
 
-def _same_table(table: str) -> str:
+def _written_alike(table: str) -> str:
     return table.rstrip("/") if is_path(table) else table.replace("`", "").lower()
 
 
-def check_target(target: str, sources: Iterable[str]) -> None:
-    """Refuse a target that is also a source: overwriting would delete what is yet to be read."""
-    if _same_table(target) in {_same_table(source) for source in sources}:
-        raise ValueError(f"{target} is also read by the query that would replace it")
+def _qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system, by Hadoop's rules for paths."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+
+
+def locations(spark: SparkSession, table: str) -> set[str]:
+    """The folders that a table, path or view reads; none if it does not exist."""
+    if is_path(table):
+        return {_qualified(spark, table)}
+    if not spark.catalog.tableExists(table):
+        return set()
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    details = {r.col_name: r.data_type for r in described}
+    if details.get("Location") and details.get("Type") != "VIEW":
+        return {_qualified(spark, details["Location"])}
+    files = spark.table(table).inputFiles()
+    return {_qualified(spark, f.rsplit("/", 1)[0]) for f in files}
+
+
+def check_target(spark: SparkSession, target: str, sources: Iterable[str]) -> None:
+    """Refuse a target that is also a source: overwriting would delete what is yet to be read.
+
+    Names are resolved to folders, also through views; a folder within another one counts as the same.
+    """
+    own = locations(spark, target)
+    for source in sources:
+        clash = _written_alike(source) == _written_alike(target) or any(
+            f"{a}/".startswith(f"{b}/") or f"{b}/".startswith(f"{a}/")
+            for a in own
+            for b in locations(spark, source)
+        )
+        if clash:
+            raise ValueError(f"{target} is also read by the query that would replace it")
+
+
+def _swap_path(df: DataFrame, target: str, partition_by: list[str]) -> None:
+    """Write beside the target, then exchange the folders; a failed write leaves the old content."""
+    spark = df.sparkSession
+    new, old = (f"{target.rstrip('/')}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+    df.write.format("parquet").partitionBy(*partition_by).save(new)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(path(target)):
+        files.rename(path(target), path(old))
+    if not files.rename(path(new), path(target)):
+        files.rename(path(old), path(target))
+        raise OSError(f"{target} could not be replaced; the new content is in {new}")
+    files.delete(path(old), True)
+
+
+def _swap_table(df: DataFrame, target: str, partition_by: list[str]) -> None:
+    """Write a table beside the target, then exchange the names."""
+    spark = df.sparkSession
+    *scope, name = target.split(".")
+    new, old = (".".join([*scope, f"{name.strip('`')}_{k}_{uuid.uuid4().hex}"]) for k in ("new", "old"))
+    df.write.format("parquet").partitionBy(*partition_by).saveAsTable(new)
+    existed = spark.catalog.tableExists(target)
+    if existed:
+        spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {target}")
+    if partition_by:  # the folders of partitions have moved with the table
+        spark.sql(f"ALTER TABLE {target} RECOVER PARTITIONS")
+    if existed:
+        spark.sql(f"DROP TABLE {old}")
 
 
 def replace_table(
@@ -35,17 +97,21 @@ def replace_table(
 ) -> None:
     """Write ``df`` as the whole new content of ``target``, a table name or a path.
 
-    ``sources`` are the tables ``df`` reads. ``atomic`` asks for one create-or-replace
-    step, which needs a catalog that supports it.
+    ``sources`` are the tables ``df`` reads. With ``atomic`` the new content is complete before the old one
+    goes: by one create-or-replace step in a catalog that has it (three-part names of other catalogs),
+    otherwise by writing beside the target and exchanging the two.
     """
-    check_target(target, sources)
+    check_target(df.sparkSession, target, sources)
     partition_by = list(partition_by)
-    if atomic:
+    if atomic and is_path(target):
+        return _swap_path(df, target, partition_by)
+    if atomic and target.count(".") == 2 and not target.startswith("spark_catalog."):
         writer = df.writeTo(target)
         if partition_by:
             writer = writer.partitionedBy(*[df[c] for c in partition_by])
-        writer.createOrReplace()
-        return
+        return writer.createOrReplace()
+    if atomic:
+        return _swap_table(df, target, partition_by)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -125,11 +125,39 @@ def test_minutes_round_by_decimal_value(spark):
 @pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/Los_Angeles"])
 def test_run_date_follows_new_york_in_any_session_zone(spark, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
+    begun = dt.datetime.now(ZoneInfo("America/New_York")).date()
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
         stamp = spark.range(1).select(R.run_date_stamp()).first()[0]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
-    today = dt.datetime.now(ZoneInfo("America/New_York")).date()
-    assert today - stamp in (dt.timedelta(days=1), dt.timedelta(days=2))
-    assert re.fullmatch(r"\d{4}-\d\d-\d\d", stamp.isoformat())
+    after = dt.datetime.now(ZoneInfo("America/New_York")).date()
+    assert stamp + dt.timedelta(days=1) in {begun, after}
+
+
+# Fixed moments: around midnight in New York, in winter and summer and at both clock changes.
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/New_York", "Europe/London"])
+@pytest.mark.parametrize(
+    "utc, stamp",
+    [
+        ("2024-01-02 03:00:00", "2023-12-31"), ("2024-01-02 04:30:00", "2023-12-31"),
+        ("2024-01-02 05:00:00", "2024-01-01"), ("2024-07-02 03:59:59.999999", "2024-06-30"),
+        ("2024-07-02 04:00:00", "2024-07-01"), ("2024-03-10 04:59:59", "2024-03-08"),
+        ("2024-03-10 05:00:00", "2024-03-09"), ("2024-03-11 03:59:59", "2024-03-09"),
+        ("2024-03-11 04:00:00", "2024-03-10"), ("2024-11-03 03:59:59", "2024-11-01"),
+        ("2024-11-03 04:00:00", "2024-11-02"), ("2024-11-04 04:59:59", "2024-11-02"),
+        ("2024-11-04 05:00:00", "2024-11-03"),
+    ],
+)
+def test_run_date_at_fixed_moments(spark, zone, utc, stamp):
+    moment = dt.datetime.fromisoformat(utc).replace(tzinfo=dt.timezone.utc)
+    micros = (moment - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        instant = F.timestamp_micros(F.col("id") * 0 + micros)
+        found = spark.range(1).select(R.run_date_stamp(instant=instant)).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert found == dt.date.fromisoformat(stamp)
+

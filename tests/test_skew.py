@@ -1,6 +1,7 @@
 """Hot keys: the split ways must give the same rows as the ordinary ones, and be taken."""
 
 import datetime as dt
+import importlib
 
 import pytest
 from pyspark.sql import Window
@@ -8,7 +9,6 @@ from pyspark.sql import functions as F
 
 from cuebreaks import cue_summary
 from cuebreaks import operators as ops
-from cuebreaks.operators import skew
 from cuebreaks.sources.derived import cue_inputs, derive_cues
 from helpers import SMALL, bag, correction_rows, cue, cue_rows, metadata_rows
 
@@ -42,14 +42,11 @@ def test_hot_keys_are_the_heavy_ones_in_pieces(skewed):
     assert ops.hot_keys(skewed, ["k"], 10_000) is None
 
 
-def test_hot_key_list_is_bounded(skewed, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 1)
-    monkeypatch.setattr(skew, "MAX_PIECES", 4)
-    hot = ops.hot_keys(skewed, ["k"], HOT)
-    assert hot.keys.count() == 1 and hot.total_pieces == 4
-    # Keys beyond the list still get their whole result.
-    joined = ops.group_max_join_back(skewed, "k", "v", "m", hot=HOT)
-    assert bag(joined) == bag(ops.group_max_join_back(skewed, "k", "v", "m", hot=None))
+def test_every_hot_key_is_listed_whatever_their_number(spark):
+    many = spark.range(0, 60_000, 1, 6).select((F.col("id") % 12_000).alias("k"))
+    hot = ops.hot_keys(many, ["k"], 5)
+    assert hot.keys.count() == 12_000 and hot.total_pieces == 12_000
+    assert ops.hot_keys(many, ["k"], 6) is None
 
 
 def test_spread_separates_rows_and_copies(spark):
@@ -199,3 +196,35 @@ def test_summary_with_one_giant_episode(spark):
     split = cue_summary(*inputs, "exact", date, hot_rows=25)
     assert bag(split) == bag(plain)
     assert plain.count() > 600
+
+
+def test_episode_that_metadata_multiplies_is_split(spark, monkeypatch):
+    """1,500 cues of one episode meet 40 metadata rows: the 60,000 rows are what must be counted."""
+    plan_of = importlib.import_module("cuebreaks.plans.cue_summary")
+    rows = [
+        cue(
+            seriesTitle="Fan", assetName="Clip", assetExternalID="F1", assetDuration=9000.0, cuePointLength=5,
+            cuePointPosition=i, contentTimePosition=float(i), seasonNumber=1, episodeNumber=1,
+        )
+        for i in range(1500)
+    ]
+    inputs = (
+        cue_rows(spark, rows),
+        correction_rows(spark, []),
+        metadata_rows(spark, [("f1", f"Genre {g}", "Crime", "Series", "D2C", "D") for g in range(40)]),
+    )
+    date, seen = dt.date(2024, 1, 2), []
+    plain = cue_summary(*inputs, "exact", date, hot_rows=10**9)
+    original = plan_of.previous_in_pieces
+
+    def recorded(df, *args):
+        result = original(df, *args)
+        stage = args[-1]
+        seen.append(stage._written[-1][1])
+        return result
+
+    monkeypatch.setattr(plan_of, "previous_in_pieces", recorded)
+    split = cue_summary(*inputs, "exact", date, hot_rows=2000)
+    assert bag(split) == bag(plain)
+    sizes = [r["count"] for r in seen[0].groupBy("_piece").count().collect()]
+    assert sum(sizes) > 60_000 and max(sizes) < 3 * 2000

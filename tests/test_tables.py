@@ -1,12 +1,13 @@
 """Staging, reading and replacing tables."""
 
 import datetime as dt
+import importlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from cuebreaks import build_summary_table
-from cuebreaks.sources import Stage, read_table, replace_table, shared_dir
+from cuebreaks.sources import Stage, read_table, release_staged, replace_table, shared_dir
 from cuebreaks.sources.derived import cue_inputs
 from helpers import SMALL, bag
 
@@ -43,6 +44,71 @@ def test_target_among_the_sources_is_refused(spark):
         replace_table(spark.range(1), "/data/x", sources=["/data/x/"])
 
 
+@pytest.mark.parametrize("target", ["own_t", "default.own_t", "spark_catalog.default.own_t", "`default`.OWN_T"])
+@pytest.mark.parametrize("source", ["own_t", "default.own_t", "spark_catalog.default.own_t", "own_view", "temp_view"])
+def test_a_table_is_known_by_all_its_names(spark, target, source):
+    if not spark.catalog.tableExists("own_t"):
+        replace_table(spark.range(3), "own_t")
+        spark.sql("CREATE OR REPLACE VIEW own_view AS SELECT id + 1 AS id FROM own_t")
+    spark.table("own_t").createOrReplaceTempView("temp_view")
+    with pytest.raises(ValueError, match="replace"):
+        replace_table(spark.range(1), target, sources=[source])
+    assert spark.table("own_t").count() == 3
+
+
+def test_a_path_is_known_by_all_its_forms(spark, tmp_path):
+    inner = tmp_path / "a" / "b"
+    replace_table(spark.range(3), str(inner))
+    for target in (f"file:{inner}", f"file://{inner}/", str(tmp_path / "a"), str(inner / "c")):
+        with pytest.raises(ValueError, match="replace"):
+            replace_table(spark.range(1), target, sources=[str(inner)])
+    replace_table(spark.range(1), str(tmp_path / "a" / "bc"), sources=[str(inner)])
+
+
+@pytest.mark.parametrize("target", ["swap_target", "default.swap_target2", "path"])
+def test_atomic_replace_keeps_the_old_content_if_the_write_fails(spark, tmp_path, target):
+    target = str(tmp_path / "swapped") if target == "path" else target
+    replace_table(spark.range(5), target, atomic=True)
+    failing = spark.range(4).select(F.raise_error(F.lit("stop")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        replace_table(failing, target, atomic=True)
+    assert read_table(spark, target).count() == 5
+    replace_table(spark.range(2).withColumn("new", F.lit(1)), target, atomic=True, partition_by=["new"])
+    spark.catalog.refreshTable(target) if "/" not in target else None
+    assert sorted(read_table(spark, target).columns) == ["id", "new"]
+    assert read_table(spark, target).count() == 2
+
+
+def test_nothing_staged_is_left(spark, tmp_path, monkeypatch):
+    from cuebreaks.sources import staging
+
+    def staged_rows():
+        root = f"{shared_dir(spark)}/cuebreaks-stage"
+        return [s for s in staging._OPEN if s._written and s.root.startswith(root)]
+
+    release_staged(spark)
+    paths = [str(tmp_path / n) for n in ("c", "o", "m")]
+    for frame, path in zip(cue_inputs(spark, SMALL), paths):
+        replace_table(frame, path)
+    build_summary_table(spark, *paths, str(tmp_path / "out"), run_date=dt.date(2024, 1, 2))
+    assert not staged_rows()
+
+    plan_of = importlib.import_module("cuebreaks.plans.cue_summary")
+
+    def failing(*args):
+        raise OSError("full")
+
+    monkeypatch.setattr(plan_of, "replace_table", failing)
+    with pytest.raises(OSError):
+        build_summary_table(spark, *paths, str(tmp_path / "out2"), run_date=dt.date(2024, 1, 2))
+    assert not staged_rows()
+
+    plan_of.cue_summary(*cue_inputs(spark, SMALL), "exact", dt.date(2024, 1, 2))
+    assert staged_rows()
+    release_staged(spark)
+    assert not staged_rows() and cue_inputs(spark, SMALL).cues.count() > 0
+
+
 def test_partitioned_target(spark, tmp_path):
     target = str(tmp_path / "by_day")
     frame = spark.range(4).withColumn("day", F.lit(dt.date(2024, 1, 1)))
