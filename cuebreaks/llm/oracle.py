@@ -95,8 +95,80 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM folded LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
+OP5 = """
+WITH body AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS bytes FROM documents
+),
+place AS (
+  SELECT doc_id, unnest(range(0, octet_length(bytes) - 99)) AS p,
+    unnest([md5(bytes[q + 1 : q + 100]) FOR q IN range(0, octet_length(bytes) - 99)]) AS window_md5
+  FROM body
+),
+repeated AS (
+  SELECT doc_id, p FROM place
+  QUALIFY row_number() OVER (PARTITION BY window_md5 ORDER BY doc_id, p) > 1
+),
+opened AS (
+  SELECT doc_id, p, coalesce(p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100, true) AS opens
+  FROM repeated
+),
+numbered AS (
+  SELECT doc_id, p, sum(CAST(opens AS INT)) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM opened
+),
+span AS (
+  SELECT doc_id, run, min(p) AS start, max(p) + 100 AS stop FROM numbered GROUP BY doc_id, run
+),
+gap AS (
+  SELECT doc_id, coalesce(lag(stop) OVER (PARTITION BY doc_id ORDER BY start), 0) AS start, start AS stop
+  FROM span
+  UNION ALL
+  SELECT doc_id, coalesce(max(stop), 0), any_value(octet_length(bytes))
+  FROM body LEFT JOIN span USING (doc_id) GROUP BY doc_id
+),
+kept AS (
+  SELECT doc_id, count(*) - 1 AS n_spans,
+    string_agg(hex(bytes[gap.start + 1 : gap.stop]), '' ORDER BY gap.start, gap.stop) AS digits
+  FROM gap JOIN body USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, octet_length(bytes) AS n_bytes, octet_length(bytes) - len(digits) // 2 AS n_removed,
+  n_spans, sha256(unhex(digits)) AS kept_sha256
+FROM body JOIN kept USING (doc_id)
+"""
+
+OP10 = """
+WITH RECURSIVE step AS (
+  SELECT i, i AS v, 0 AS k FROM range(256) r(i)
+  UNION ALL
+  SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM step WHERE k < 8
+),
+crc_table AS (SELECT list(v ORDER BY i) AS crc FROM step WHERE k = 8),
+sized AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+    [('0x' || d)::BIGINT FOR d IN
+      string_split(regexp_replace(hex(encode(coalesce(text, ''))), '(..)', ',\\1', 'g'), ',')[2:]] AS bytes
+  FROM documents
+),
+summed AS (
+  SELECT doc_id, size,
+    xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, bytes),
+      lambda acc, b: xor(acc >> 8, crc[(xor(acc, b) & 255) + 1]))) AS text_crc32,
+    sum(size) OVER (ORDER BY doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) AS upto,
+    sum(size) OVER () AS total
+  FROM sized, crc_table
+),
+placed AS (
+  SELECT *, CAST(((2 * upto - size) * 40) // (2 * total) AS INT) AS shard FROM summed
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST) - 1 AS slot,
+  CAST(NULL AS INT) AS grown_shard
+FROM placed
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_chat_formatting": OP3,
+    "op5_suffix_dedup": OP5,
     "op6_exact_dedup": OP6,
     "op7_decontamination": OP7,
+    "op10_sharding": OP10,
 }
