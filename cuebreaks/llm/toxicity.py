@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -48,6 +48,7 @@ CLASSES = {
 THREAT_WEIGHT = 4.0
 
 _WORDS = re.compile(r"[^\W\d_]+")
+_LONG = 1 << 20
 _CLAUSES = re.compile(r"[.!?;:,\n]+")
 
 
@@ -105,6 +106,11 @@ def features(word: str) -> list[str]:
     return [word, *(f"{word[:n]}*" for n in STEMS if len(word) > n)]
 
 
+def _words(text: str) -> Iterable[str]:
+    """Words of a text; of a long one, one after the other."""
+    return _WORDS.findall(text) if len(text) < _LONG else (m.group() for m in _WORDS.finditer(text))
+
+
 @dataclass
 class Model:
     """The learned lexicon and the start value; runs anywhere, is small."""
@@ -125,7 +131,7 @@ class Model:
             self.known[word] = found
         return found
 
-    def clause(self, words: list[str]) -> float:
+    def clause(self, words: Iterable[str]) -> float:
         """The weight of a clause's strongest match."""
         state, best = 0, 0.0
         for word in words:
@@ -138,8 +144,8 @@ class Model:
         low = (text or "").lower()
         total = self.start
         symbol = self.symbol
-        if any(symbol(w)[1] for w in _WORDS.findall(low)):
-            total += sum(self.clause(_WORDS.findall(c)) for c in _CLAUSES.split(low))
+        if any(symbol(w)[1] for w in _words(low)):
+            total += sum(self.clause(_words(c)) for c in _CLAUSES.split(low))
         return 1.0 / (1.0 + math.exp(-max(-50.0, min(50.0, total))))
 
 
