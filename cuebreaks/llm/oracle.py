@@ -135,6 +135,92 @@ SELECT doc_id, octet_length(bytes) AS n_bytes, octet_length(bytes) - len(digits)
 FROM body JOIN kept USING (doc_id)
 """
 
+OP9 = r"""
+WITH kind (number, name, pattern) AS (
+  VALUES (1, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'),
+         (2, 'ip', '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'),
+         (3, 'card', '[0-9]([\x20-]?[0-9])+'),
+         (4, 'phone', '\+[0-9][\x20().0-9-]+[0-9]')
+),
+body AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+),
+matched AS (
+  SELECT doc_id, number, name, unnest(regexp_extract_all(text, pattern)) AS value,
+    unnest([length(g) FOR g IN string_split_regex(text, pattern)[:-2]]) AS gap,
+    unnest(range(len(regexp_extract_all(text, pattern)))) AS i
+  FROM body, kind
+),
+placed AS (
+  SELECT doc_id, number, name, value, regexp_replace(value, '[^0-9]', '', 'g') AS digits,
+    sum(gap + length(value)) OVER (PARTITION BY doc_id, number ORDER BY i) AS stop
+  FROM matched
+),
+base AS (
+  SELECT doc_id, number, name, value, CAST(stop - length(value) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop
+  FROM placed
+  WHERE CASE name
+    WHEN 'email' THEN true
+    WHEN 'ip' THEN len([p FOR p IN string_split(value, '.') IF try_cast(p AS UHUGEINT) IS NULL OR p::UHUGEINT > 255]) = 0
+    WHEN 'card' THEN length(digits) BETWEEN 16 AND 19 AND list_sum([
+        CASE WHEN k % 2 = 1 THEN d ELSE 2 * d - CASE WHEN d > 4 THEN 9 ELSE 0 END END
+        FOR d, k IN [digits[length(digits) - j]::INT FOR j IN range(length(digits))]]) % 10 = 0
+    ELSE length(digits) BETWEEN 8 AND 15 END
+),
+around AS (
+  SELECT b.doc_id, b.name || ':' || b.value AS entity, greatest(b.start - 100, 0) AS origin,
+    text[greatest(b.start - 100, 0) + 1 : b.stop + 100] AS near, length(text) AS whole, b.start
+  FROM base b JOIN body USING (doc_id)
+),
+word AS (
+  SELECT doc_id, entity, origin, near, whole, start,
+    unnest(regexp_extract_all(near, '\pL{3,}')) AS value,
+    unnest([length(g) FOR g IN string_split_regex(near, '\pL{3,}')[:-2]]) AS gap,
+    unnest(range(len(regexp_extract_all(near, '\pL{3,}')))) AS i
+  FROM around
+),
+word_at AS (
+  SELECT *, CAST(sum(gap + length(value)) OVER (PARTITION BY doc_id, entity, start ORDER BY i) AS BIGINT) AS upto
+  FROM word
+),
+term AS (
+  SELECT doc_id, entity, lower(value) AS term, origin + upto - length(value) AS start, origin + upto AS stop
+  FROM word_at w
+  WHERE (upto > length(value) OR origin = 0) AND (upto < length(near) OR origin + length(near) >= whole)
+    AND NOT EXISTS (FROM base b WHERE b.doc_id = w.doc_id
+      AND b.start < w.origin + w.upto AND b.stop > w.origin + w.upto - length(w.value))
+),
+n AS (SELECT count(*)::DOUBLE AS n FROM documents),
+n_c AS (SELECT entity, count(DISTINCT doc_id) AS n_c FROM term GROUP BY entity),
+n_ct AS (SELECT entity, term, count(DISTINCT doc_id) AS n_ct FROM term GROUP BY ALL HAVING count(DISTINCT doc_id) >= 3),
+n_t AS (
+  SELECT term, count(*) AS n_t
+  FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '\pL{3,}'))) AS term FROM body)
+  GROUP BY term
+),
+disclosing AS (
+  SELECT entity, term FROM n_ct JOIN n_c USING (entity) JOIN n_t USING (term), n
+  WHERE n_c < n AND ln(n * n_ct / (n_c * n_t)) / ln(n / n_c) >= 0.8
+),
+told AS (
+  SELECT DISTINCT doc_id, start, stop FROM term JOIN disclosing USING (entity, term)
+),
+base_line AS (
+  SELECT doc_id, string_agg(concat_ws(':', name, start, stop), ',' ORDER BY number, start) AS line,
+    count(*) FILTER (WHERE name = 'email') AS n_email, count(*) FILTER (WHERE name = 'ip') AS n_ip,
+    count(*) FILTER (WHERE name = 'card') AS n_card, count(*) FILTER (WHERE name = 'phone') AS n_phone
+  FROM base GROUP BY doc_id
+),
+term_line AS (
+  SELECT doc_id, string_agg(concat_ws(':', 'term', start, stop), ',' ORDER BY start) AS terms
+  FROM told GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+  coalesce(n_phone, 0) AS n_phone, sha256(coalesce(line, '')) AS base_sha256,
+  concat_ws(',', line, terms) AS spans
+FROM documents LEFT JOIN base_line USING (doc_id) LEFT JOIN term_line USING (doc_id)
+"""
+
 OP10 = """
 WITH RECURSIVE step AS (
   SELECT i, i AS v, 0 AS k FROM range(256) r(i)
@@ -170,5 +256,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_suffix_dedup": OP5,
     "op6_exact_dedup": OP6,
     "op7_decontamination": OP7,
+    "op9_pii": OP9,
     "op10_sharding": OP10,
 }
