@@ -135,6 +135,66 @@ SELECT doc_id, octet_length(bytes) AS n_bytes, octet_length(bytes) - len(digits)
 FROM body JOIN kept USING (doc_id)
 """
 
+CRC_TABLE = """step AS (
+  SELECT i, i AS v, 0 AS k FROM range(256) r(i)
+  UNION ALL
+  SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM step WHERE k < 8
+),
+crc_table AS (SELECT list(v ORDER BY i) AS crc FROM step WHERE k = 8)"""
+
+
+def crc32(byte_list: str) -> str:
+    """The checksum of a list of bytes, with ``crc_table`` at hand."""
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, {byte_list}),
+      lambda acc, b: xor(acc >> 8, crc[(xor(acc, b) & 255) + 1])))"""
+
+
+# A blank around words is chr(1), which sorts before every letter.
+OP8 = rf"""
+WITH RECURSIVE {CRC_TABLE},
+body AS (
+  SELECT doc_id, lang, text IS NOT NULL AS known, lower(coalesce(text, '')) AS low,
+    {crc32("[ascii(d)::BIGINT FOR d IN string_split(coalesce(CAST(doc_id AS VARCHAR), ''), '') IF d <> '']")}
+      % 4 = 2 AS held_out
+  FROM documents, crc_table
+),
+word AS (
+  SELECT doc_id, w, chr(1) || w || chr(1) AS p, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(low, '\pL+')) AS w FROM body) GROUP BY ALL
+),
+gram AS (
+  SELECT doc_id, g, sum(n) AS n FROM (
+    SELECT doc_id, n, unnest(string_split(w, '')) AS g FROM word
+    UNION ALL
+    SELECT doc_id, n, unnest([p[i : i + 1] FOR i IN range(1, length(p))]) FROM word
+    UNION ALL
+    SELECT doc_id, n, unnest([p[i : i + 2] FOR i IN range(1, length(p) - 1)]) FROM word
+  ) GROUP BY ALL
+),
+own AS (
+  SELECT doc_id, g, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, length(g), g) - 1 AS place
+  FROM gram QUALIFY place < 400
+),
+profile AS (
+  SELECT lang, g, row_number() OVER (PARTITION BY lang ORDER BY sum(n) DESC, length(g), g) - 1 AS place
+  FROM gram JOIN body USING (doc_id)
+  WHERE NOT held_out AND lang IS NOT NULL AND known
+  GROUP BY lang, g QUALIFY place < 400
+),
+distance AS (
+  SELECT o.doc_id, l.lang, sum(coalesce(abs(p.place - o.place), 400)) AS off, count(*) AS n
+  FROM own o CROSS JOIN (SELECT DISTINCT lang FROM profile) l
+  LEFT JOIN profile p ON p.lang = l.lang AND p.g = o.g
+  GROUP BY o.doc_id, l.lang
+),
+nearest AS (
+  SELECT doc_id, lang AS lang_pred, 1 - off::DOUBLE / (400 * n)::DOUBLE AS score FROM distance
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY off, lang) = 1
+)
+SELECT doc_id, held_out, coalesce(lang_pred, 'und') AS lang_pred, coalesce(score, 0) AS score
+FROM body LEFT JOIN nearest USING (doc_id)
+"""
+
 OP9 = r"""
 WITH kind (number, name, pattern) AS (
   VALUES (1, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'),
@@ -221,23 +281,17 @@ SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coale
 FROM documents LEFT JOIN base_line USING (doc_id) LEFT JOIN term_line USING (doc_id)
 """
 
-OP10 = """
-WITH RECURSIVE step AS (
-  SELECT i, i AS v, 0 AS k FROM range(256) r(i)
-  UNION ALL
-  SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM step WHERE k < 8
-),
-crc_table AS (SELECT list(v ORDER BY i) AS crc FROM step WHERE k = 8),
+OP10 = rf"""
+WITH RECURSIVE {CRC_TABLE},
 sized AS (
   SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size,
     [('0x' || d)::BIGINT FOR d IN
-      string_split(regexp_replace(hex(encode(coalesce(text, ''))), '(..)', ',\\1', 'g'), ',')[2:]] AS bytes
+      string_split(regexp_replace(hex(encode(coalesce(text, ''))), '(..)', ',\1', 'g'), ',')[2:]] AS bytes
   FROM documents
 ),
 summed AS (
   SELECT doc_id, size,
-    xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, bytes),
-      lambda acc, b: xor(acc >> 8, crc[(xor(acc, b) & 255) + 1]))) AS text_crc32,
+    {crc32("bytes")} AS text_crc32,
     sum(size) OVER (ORDER BY doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) AS upto,
     sum(size) OVER () AS total
   FROM sized, crc_table
@@ -256,6 +310,7 @@ ORACLE_SQL: dict[str, str] = {
     "op5_suffix_dedup": OP5,
     "op6_exact_dedup": OP6,
     "op7_decontamination": OP7,
+    "op8_language_id": OP8,
     "op9_pii": OP9,
     "op10_sharding": OP10,
 }
