@@ -1,7 +1,8 @@
 """Suffix and common-prefix order of one shard by external induced sorting.
 
 The shard is a row of byte segments, each closed by a separator that equals no other. The S* suffixes
-(smaller than the next one, after a larger one) are sorted first, then the L suffixes follow from scanning them in order, and the S suffixes from scanning the L ones backwards. A scanned suffix hands its
+(smaller than the next one, after a larger one) are sorted first, then the L suffixes follow from scanning
+them in order, and the S suffixes from scanning the L ones backwards. A scanned suffix hands its
 predecessor to the queue of the predecessor's first byte. These queues, one per byte, together are a priority queue:
 within a byte the order of arrival is the order of suffixes. A queue holds tuples (position, length of the
 prefix shared with the tuple before it); beyond a stated amount they go to a scratch file of the task.

@@ -75,7 +75,8 @@ item_window AS (
 ),
 size AS (SELECT DISTINCT len(terms) AS n FROM item_window),
 doc_window AS (
-  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS s, unnest([w[p : p + n - 1] FOR p IN range(1, len(w) - n + 2)]) AS terms
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS s,
+    unnest([w[p : p + n - 1] FOR p IN range(1, len(w) - n + 2)]) AS terms
   FROM folded, size WHERE len(w) >= n
 ),
 hit AS (

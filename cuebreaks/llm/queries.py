@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from cuebreaks.llm import chat, decontam, exact_dedup, langid, packing, pii, sharding, simhash, suffix_dedup, toxicity
 from cuebreaks.llm.inputs import table
-from cuebreaks.llm.oracle import ORACLE_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

@@ -176,11 +176,12 @@ def learn(
         for toxic, counter in enumerate(seen):
             names = pa.array(list(counter), pa.string())
             numbers = pa.array(list(counter.values()), pa.int64())
-            yield pa.RecordBatch.from_arrays([names, pa.array([toxic] * len(names), pa.int32()), numbers], ["feature", "toxic", "n"])
+            label = pa.array([toxic] * len(names), pa.int32())
+            yield pa.RecordBatch.from_arrays([names, label, numbers], ["feature", "toxic", "n"])
 
     seen = fitted.select("toxic", "text").mapInArrow(count, "feature string, toxic int, n long")
-    sums = [F.coalesce(F.sum(F.when(F.col("toxic") == t, F.col("n"))), F.lit(0)).alias(n) for t, n in ((0, "clean"), (1, "bad"))]
-    table = seen.groupBy("feature").agg(*sums)
+    sums = [F.sum(F.when(F.col("toxic") == t, F.col("n")).otherwise(0)) for t in (0, 1)]
+    table = seen.groupBy("feature").agg(sums[0].alias("clean"), sums[1].alias("bad"))
     table = stage.write(table, "features")
     whole = F.col("feature") == ""  # in every document
     bad, clean, candidates = table.agg(
