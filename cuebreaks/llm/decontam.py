@@ -38,8 +38,7 @@ def fold(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The words of a text in its own spelling; none for NULL."""
-    inner = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{_BREAK}|{_BREAK}$", "")
-    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, _BREAK, -1))
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), _BREAK, -1), "")
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
