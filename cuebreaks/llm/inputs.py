@@ -2,13 +2,33 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import cuebreaks
+
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, which may not have it on their own path."""
+    context, package = spark.sparkContext, Path(cuebreaks.__file__).parent
+    if context.applicationId in _SHIPPED or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="cuebreaks-")) / "cuebreaks.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for file in sorted(package.rglob("*.py")):
+            packed.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

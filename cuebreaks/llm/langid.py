@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cuebreaks.llm.inputs import fresh
+from cuebreaks.llm.inputs import fresh, ship_package
 
 PROFILE_SIZE = 400
 UNKNOWN = "und"
@@ -138,6 +138,7 @@ def learn(
         for name in list(held):
             yield flush(name)
 
+    ship_package(labelled.sparkSession)
     usable = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
     counts = usable.mapInArrow(count, "lang string, gram long, n long")
     total = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -154,6 +155,7 @@ def learn(
 
 def identify(docs: DataFrame, profiles: Profiles, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of every row, with ``lang_pred`` and ``score`` (1: same list as the profile)."""
+    ship_package(docs.sparkSession)
     source = docs.select(*keep, F.col("text").alias(fresh(keep, "body")))
     schema = docs.select(*keep, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
 

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cuebreaks.llm.inputs import ship_package
 from cuebreaks.sources.staging import Stage
 
 CAPACITY = 4096
@@ -105,6 +106,8 @@ def token_pieces(
 ) -> DataFrame:
     """The pieces of every document; the end id counts as its last one."""
 
+    ship_package(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = tokens_of(tokenizer)
         end = np.array([END_ID], "<u4").tobytes()

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cuebreaks.llm.components import component_roots
-from cuebreaks.llm.inputs import fresh, row_hash, same
+from cuebreaks.llm.inputs import fresh, row_hash, same, ship_package
 from cuebreaks.sources.staging import Stage
 
 SHINGLE_WORDS = 3
@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
             columns = [batch.column(0), batch.column(1), pa.array(bits.view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "bits"])
 
+    ship_package(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long"), row_hash().alias("text_hash"), F.col("text").cast("string"))
     return source.mapInArrow(run, "doc_id long, text_hash long, bits long")
 
@@ -203,6 +204,7 @@ def fingerprint_links(
     distinct: DataFrame, stage: Stage, max_bits: int = MAX_BITS, blocks: int = BLOCKS, cell: int = CELL
 ) -> DataFrame:
     """Links ``a, b`` that connect all of the distinct ``bits`` at most ``max_bits`` apart."""
+    ship_package(distinct.sparkSession)
     signed = lambda m: m - (1 << 64) if m >> 63 else m
     patterns = F.array(*[
         F.struct(F.lit(k).alias("mask"), F.col("bits").bitwiseAND(F.lit(signed(m))).alias("pattern"))

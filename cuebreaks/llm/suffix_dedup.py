@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cuebreaks.llm.induced import Shard
-from cuebreaks.llm.inputs import row_hash, same
+from cuebreaks.llm.inputs import row_hash, same, ship_package
 from cuebreaks.sources.staging import Stage
 
 LENGTH = 100
@@ -247,6 +247,7 @@ def remove_repeats(
     docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES, stage: Stage | None = None
 ) -> DataFrame:
     """One row per document: ``doc_id, n_bytes, spans`` (removed: ``start, stop``) and ``kept`` (bytes)."""
+    ship_package(docs.sparkSession)
     stage = stage or Stage(docs.sparkSession)
     body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     texts = docs.select(F.col("doc_id").cast("long"), row_hash().alias("text_hash"), body.alias("body"))

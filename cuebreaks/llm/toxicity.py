@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cuebreaks.llm.inputs import fresh
+from cuebreaks.llm.inputs import fresh, ship_package
 from cuebreaks.sources.staging import Stage
 
 FIT_ROWS = 4000
@@ -157,6 +157,7 @@ def learn(
     stage: Stage | None = None,
 ) -> Model:
     """The model of ``labels`` (``doc_id, toxic``) over the texts of ``docs``."""
+    ship_package(docs.sparkSession)
     stage = stage or Stage(docs.sparkSession)
     usable = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "toxic")
     counts = dict(usable.groupBy("toxic").count().collect())
@@ -224,6 +225,7 @@ def learn(
 
 def score(docs: DataFrame, model: Model, keep: list[str], name: str = "score") -> DataFrame:
     """The columns ``keep`` of every row and its score."""
+    ship_package(docs.sparkSession)
     source = docs.select(*keep, F.col("text").cast("string").alias(fresh(keep, "body")))
     schema = docs.select(*keep, F.lit(0.0).alias(name)).schema
 
