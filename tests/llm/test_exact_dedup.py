@@ -9,7 +9,7 @@ from cuebreaks.llm import exact_dedup
 
 ROWS = [
     (5, "a b"), (3, "a  b"), (9, "a\tb"), (4, "a b "), (7, None), (6, ""), (8, "A b"), (None, "n"), (2, "n"),
-    (10, " "), (11, "long " * 30000), (12, "long  " * 30000), (13, "a b"), (13, "a b"), (14, " "), (15, "\n\n"),
+    (10, " "), (11, "long " * 30000), (12, "long  " * 30000), (13, "a b"), (13, "a b"), (14, " "), (15, "\n\n"), (1, "twice"), (1, "twice"),
 ]
 
 
