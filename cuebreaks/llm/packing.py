@@ -35,14 +35,23 @@ CAPACITY = 4096
 MAX_PIECE = 1024
 BLOCK_WINDOWS = 128
 END_ID = 2
-PIECES_KEPT = 1_000_000
+PIECES_KEPT = 500_000
 
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED_SCHEMA = f"{PIECE_SCHEMA}, sequence_id long, offset long"
 
 
-class Tokens:
-    """Ids of a text as little-endian 32-bit numbers, with a bounded table of known pieces.
+def _is_latin(text: str) -> bool:
+    """No character beyond Latin-1, so none that combines with others or folds in an odd way."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+class Tokens(dict):
+    """Ids of pieces of text as little-endian 32-bit numbers, kept up to a bound; of a text when called.
 
     The vocabulary's rules split at white space and between letters and a lone mark, so these borders
     can be cut first. A piece of plain Latin letters is one word to them: it goes straight to the
@@ -50,41 +59,37 @@ class Tokens:
     """
 
     _mark = re.compile(r"[.,;:!?](?<=[^\W\d_].)(?=[ \n])")
-    _blanks = re.compile("[ \n]+")
     _letters = re.compile("[a-zà-öø-ÿ]+").fullmatch
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__({"": b""})
         self.tokenizer = Tokenizer.from_file(path)
         self.word = self.tokenizer.model.tokenize
-        self.known: dict[str, bytes] = {"": b""}
         shown = {*range(33, 127), *range(161, 173), *range(174, 256)}  # bytes that stand for themselves
         hidden = (b for b in range(256) if b not in shown)
         self.alphabet = {b: 256 + k for k, b in enumerate(hidden)}
 
     def __call__(self, text: str) -> bytes:
-        pieces = self._blanks.split(self._mark.sub(r" \g<0>", text))
-        new = [p for p in set(pieces) if p not in self.known]
-        if new:
-            self.learn(new, pieces)
-        return b"".join(map(self.known.__getitem__, pieces))
-
-    def learn(self, new: list[str], pieces: list[str]) -> None:
-        if len(self.known) > PIECES_KEPT:
-            self.known = {"": b""}
-            new = list(set(pieces) - {""})
-        other = []
-        for piece in new:
-            low = piece.lower()
-            if not self._letters(low):
-                other.append(piece)
-                continue
+        if len(self) > PIECES_KEPT:
+            self.clear()
+            self[""] = b""
+        if "<|" not in text and _is_latin(text):
+            text = text.lower()  # what the rules do to these characters; it must not forge a control string
+        spaced = self._mark.sub(r" \g<0>", text).replace("\n", " ")
+        return b"".join(map(self.__getitem__, spaced.split(" ")))
+
+    def __missing__(self, piece: str) -> bytes:
+        low = piece.lower()
+        if self._letters(low):
             if not low.isascii():
                 low = low.encode().decode("latin-1").translate(self.alphabet)
-            self.known[piece] = array("I", [t.id for t in self.word(low)]).tobytes()
-        for piece, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-            self.known[piece] = array("I", found.ids).tobytes()
+            ids = [t.id for t in self.word(low)]
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        found = self[piece] = array("I", ids).tobytes()
+        return found
 
 
 @cache

@@ -18,7 +18,8 @@ def tokenizer():
 
 
 ODD = [
-    "", " ", "a", "it's  'S. x's", "<|endoftext|>a <|startoftext|>", "été İzmir ΟΣ Σ.",
+    "", " ", "a", "<|ENDOFTEXT|> <|EndOfText|>x", "J\u030c H\u0331x E\u0301 I\u0307", "Œuvre ÀÉÎ µ",
+    "it's  'S. x's", "<|endoftext|>a <|startoftext|>", "été İzmir ΟΣ Σ.",
     "q\x1c\x1dw  x y", "don't...  stop!? ok,", "K ẞ ß", "中文 \U0001f600\n\n\tz", "Êté, œuvre; ñ: a1b2",
 ]
 
