@@ -4,8 +4,8 @@
    leftmost of equals. Equal windows have equal anchors, so they meet if windows are dealt by anchor. The windows
    next to each other that share an anchor occurrence make a segment; only its place and hashes are shuffled.
 2. Segments whose anchor occurs once are done. Of segments equal in 128 bits of hash, all but the first are repeats
-   from end to end, however many there are. Only first ones whose anchor has several different
-   segments need their bytes compared.
+   from end to end, however many there are; those with an earlier copy in their own task are not even
+   compared. Only first ones whose anchor has several different segments need their bytes compared.
 3. Those segments are dealt by anchor. A task takes them in shards of whole anchors and sorts the suffixes of each shard by
    external induced sorting (``induced``). Neighbours that share ``length`` bytes or more hold equal windows:
    all but the earliest are repeats.
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cuebreaks.llm.induced import Shard
+from cuebreaks.llm.induced import CAP, Shard
 from cuebreaks.llm.inputs import row_hash, same, ship_package
 from cuebreaks.sources.staging import Stage
 
@@ -35,8 +35,9 @@ SHARD_BYTES = 1 << 22
 
 _PLACE_BITS = 21
 _PIECE = 1 << 20
+_FREQUENT = 200_000  # segments a task remembers
 
-_SEGMENT = "doc_id long, text_hash long, start long, size int, anchor long, digest long"
+_SEGMENT = "doc_id long, text_hash long, start long, size int, anchor long, digest long, copied boolean"
 
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -78,10 +79,57 @@ def segments(data: bytes, ends: np.ndarray, length: int) -> tuple[np.ndarray, np
     return first, last, hashes[anchor[first]]
 
 
+class _Copies:
+    """Tells which segments of a task certainly have an earlier copy: one that the task has seen.
+
+    Segments that repeat are remembered with their earliest place, up to a bound; what is not recognised
+    here is found by the shuffle. So a very frequent segment sends a few rows per task, not all.
+    """
+
+    def __init__(self):
+        self.earliest: dict[tuple[int, int], tuple] = {}
+        self.anchors = np.empty(0, np.uint64)
+
+    def __call__(self, places: np.ndarray, anchor: np.ndarray, digest: np.ndarray) -> np.ndarray:
+        """Flags for segments; a column of ``places``: whether the id is known, id, text's hash, start."""
+        copied = np.zeros(len(anchor), bool)
+        order = np.argsort(anchor)
+        equal = anchor[order][1:] == anchor[order][:-1]
+        repeats = np.isin(anchor, self.anchors)
+        repeats[order] |= np.r_[False, equal] | np.r_[equal, False] if len(order) else False
+        own = np.flatnonzero(repeats)
+        if len(own):
+            copied[own] = self._copied(places[:, own], anchor[own], digest[own])
+        return copied
+
+    def _copied(self, places: np.ndarray, anchor: np.ndarray, digest: np.ndarray) -> np.ndarray:
+        order = np.lexsort((*places[::-1], digest, anchor))
+        a, d, place = anchor[order], digest[order], places[:, order]
+        head = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (d[1:] != d[:-1])])
+        size = np.diff(np.r_[head, len(order)])
+        # Rows alike are one place: equal to the earliest, they are no copies.
+        later = (place != place[:, np.repeat(head, size)]).any(axis=0)
+        known = len(self.earliest)
+        for pair, n, row in zip(zip(a[head].tolist(), d[head].tolist()), size.tolist(), head.tolist()):
+            seen = self.earliest.get(pair)
+            if seen is None and (n < 2 or len(self.earliest) >= _FREQUENT):
+                continue
+            here = tuple(place[:, row].tolist())
+            if seen is None or here < seen:
+                self.earliest[pair] = here
+            elif here > seen:
+                later[row : row + n] = True
+        if len(self.earliest) > known:
+            self.anchors = np.unique(np.fromiter((p[0] for p in self.earliest), np.uint64, len(self.earliest)))
+        copied = np.empty(len(order), bool)
+        copied[order] = later
+        return copied
+
+
 def _segment_rows(length: int):
     from xxhash import xxh3_64_intdigest
 
-    def rows(held: list[tuple]) -> pa.RecordBatch:
+    def rows(held: list[tuple], copies: _Copies) -> pa.RecordBatch:
         """``held``: id, hash, place in the document, and bytes of pieces of documents."""
         data = b"".join(h[3] for h in held)
         ends = np.cumsum([len(h[3]) for h in held])
@@ -93,19 +141,25 @@ def _segment_rows(length: int):
             len(first),
         )
         shift = np.array([h[2] for h in held], np.int64) - np.r_[0, ends[:-1]]
-        pieces = pa.array(piece)
+        start = first + shift[piece]
+        known = np.array([h[0] is not None for h in held])[piece]
+        ids = np.array([h[0] or 0 for h in held], np.int64)[piece]
+        hashes = np.array([h[1] for h in held], np.int64)[piece]
+        copied = copies(np.stack((known.astype(np.int64), ids, hashes, start)), anchors, digest)
         columns = [
-            pa.array([h[0] for h in held], pa.int64()).take(pieces),
-            pa.array([h[1] for h in held], pa.int64()).take(pieces),
-            pa.array(first + shift[piece]),
+            pa.array(ids, mask=~known),
+            pa.array(hashes),
+            pa.array(start),
             pa.array((last - first + length).astype(np.int32)),
             pa.array(anchors.view(np.int64)),
             pa.array(digest.view(np.int64)),
+            pa.array(copied),
         ]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "start", "size", "anchor", "digest"])
+        names = ["doc_id", "text_hash", "start", "size", "anchor", "digest", "copied"]
+        return pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, copies = [], 0, _Copies()
         for batch in batches:
             ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for doc_id, text_hash, body in zip(ids, hashes, batch.column(2)):
@@ -115,10 +169,10 @@ def _segment_rows(length: int):
                     held.append((doc_id, text_hash, at, body[at : at + _PIECE]))
                     size += len(held[-1][3])
                     if size >= _PIECE:
-                        yield rows(held)
+                        yield rows(held, copies)
                         held, size = [], 0
         if held:
-            yield rows(held)
+            yield rows(held, copies)
 
     return run
 
@@ -161,7 +215,7 @@ def repeats_in_shard(document: np.ndarray, start: np.ndarray, bodies: list[bytes
         place = order[segment] + at - begin[segment]
         repeat[at[place > place.min()]] = True
 
-    for at, shared in Shard(data).runs():
+    for at, shared in Shard(data, min(length, CAP)).runs():
         heads = np.flatnonzero(shared < length)
         if not len(heads):
             parts.append(at)
@@ -254,14 +308,17 @@ def remove_repeats(
     key = ["doc_id", "text_hash"]
 
     rows = texts.mapInArrow(_segment_rows(length), _SEGMENT)
+    # A row that is known to be a copy needs no partners: it is dealt by its place.
+    alone = F.when(F.col("copied"), F.xxhash64(*key, "start")).otherwise(F.col("anchor"))
+    rows = rows.withColumn("anchor", alone)
     equal = Window.partitionBy("anchor", "digest").orderBy(*key, "start")
     around = Window.partitionBy("anchor")
     ranked = (
-        rows.withColumn("first", F.rank().over(equal) == 1)
+        rows.withColumn("first", ~F.col("copied") & (F.rank().over(equal) == 1))
         .withColumn("n", F.count("*").over(around))
         .withColumn("mixed", F.min("digest").over(around) < F.max("digest").over(around))
     )
-    found = ranked.filter((F.col("n") > 1) & (~F.col("first") | F.col("mixed")))
+    found = ranked.filter(F.col("copied") | (F.col("n") > 1) & (~F.col("first") | F.col("mixed")))
     found = stage.write(found.select(*key, "start", "size", "anchor", "first"), "segments")
 
     def beside(listed: DataFrame, how: str) -> DataFrame:
