@@ -8,7 +8,7 @@ within a byte the order of arrival is the order of suffixes. A queue holds tuple
 prefix shared with the tuple before it); beyond a stated amount they go to a scratch file of the task.
 
 Shared prefixes are induced with the tuples: two neighbours in a queue share one byte more than the least prefix
-shared between the scanned suffixes that sent them. They count up to 255.
+shared between the scanned suffixes that sent them. They count up to a stated length, 255 at most.
 
 The S* suffixes are sorted by a recursion of its kind: S* substrings by one induction without prefixes, which
 gives names; the string of names, whose alphabet is too large for a queue each, by doubling.
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CAP = 255
+CAP = 255  # what a prefix length can count to; a shard may ask for less
 BLOCK = 1 << 16
 HELD = 1 << 22  # tuples of all queues in memory before they go to the file
 
@@ -124,10 +124,14 @@ class _LeastBetween:
 
 
 class Shard:
-    """``text``: symbols 0 (separator) and byte + 1, ending with a separator."""
+    """``text``: symbols 0 (separator) and byte + 1, ending with a separator.
 
-    def __init__(self, text: np.ndarray):
+    Shared prefixes count up to ``cap``.
+    """
+
+    def __init__(self, text: np.ndarray, cap: int = CAP):
         self.text = text
+        self.cap = cap
         n = len(text)
         rise = np.sign(np.diff(text.astype(np.int16)))
         at = np.where(rise != 0, np.arange(n - 1), n)
@@ -144,33 +148,45 @@ class Shard:
         text, n = self.text, len(self.text)
         found = np.zeros(len(a), np.uint8)
         live = np.arange(len(a))
-        for k in range(CAP):
-            x, y = a[live] + k, b[live] + k
-            live = live[(x < n) & (y < n)]
-            x, y = a[live] + k, b[live] + k
-            live = live[(text[x] == text[y]) & (text[x] != 0)]
+        for k in range(self.cap):
+            # A separator ends the text, so the smaller place is always inside.
+            inside = np.maximum(a, b) < n
+            live, a, b = live[inside], a[inside], b[inside]
+            symbol = text[a]
+            equal = (symbol == text[b]) & (symbol != 0)
+            live, a, b = live[equal], a[equal] + 1, b[equal] + 1
             if not len(live):
                 break
-            found[live] += 1
+            found[live] = k + 1
         return found
 
-    def _scan(self, queues: Queues, since: np.ndarray, at: np.ndarray, lcp: np.ndarray, small: bool) -> None:
-        """Hands the predecessors of a type to their queues, with the prefixes they share."""
+    def _scan(
+        self, queues: Queues, since: np.ndarray | None, at: np.ndarray, lcp: np.ndarray, small: bool
+    ) -> None:
+        """Hands the predecessors of a type to their queues, with the prefixes they share.
+
+        ``since`` holds, by symbol, the least prefix scanned since its last tuple; None leaves prefixes out.
+        """
         if not len(at):
             return
         before = at - 1
         sends = np.flatnonzero((at > 0) & (self.small[before] == small) & (self.text[before] != 0))
-        least = _LeastBetween(lcp)
         m = len(at)
         symbol = self.text[before[sends]]
         order = np.argsort(symbol, kind="stable")
         sends, symbol = sends[order], symbol[order]
         first = np.flatnonzero(np.r_[True, symbol[1:] != symbol[:-1]]) if len(sends) else sends
+        if since is None:
+            sent, none = before[sends], np.zeros(len(sends), np.uint8)
+            for a, b in zip(first, [*first[1:], len(sends)]):
+                queues.push(int(symbol[a]), sent[a:b], none[a:b])
+            return
+        least = _LeastBetween(lcp)
         previous = np.r_[-1, sends[:-1]]
         previous[first] = -1
         between = least(previous + 1, sends)
         between[first] = np.minimum(between[first], since[symbol[first]])
-        grown = np.minimum(between, CAP - 1) + 1
+        grown = np.minimum(between, self.cap - 1) + 1
         np.minimum(since, lcp.min(), out=since)
         borders = np.r_[first, len(sends)]
         for a, b in zip(borders, borders[1:]):
@@ -182,12 +198,12 @@ class Shard:
         last = sends[borders[1:] - 1]
         since[symbol[first]] = least(last + 1, np.full(len(last), m - 1))
 
-    def _pass(self, seeds: np.ndarray, seed_lcp: np.ndarray) -> tuple[Queues, Queues]:
+    def _pass(self, seeds: np.ndarray, seed_lcp: np.ndarray, prefixes: bool) -> tuple[Queues, Queues]:
         """Queues of L suffixes upwards and of S suffixes downwards, from sorted seeds."""
         text = self.text
         starts = np.searchsorted(text[seeds], np.arange(self.symbols + 1))
         larger = Queues(self.symbols)
-        since = np.zeros(self.symbols, np.uint8)
+        since = np.zeros(self.symbols, np.uint8) if prefixes else None
         for c in range(self.symbols):
             tail = None
             for at, lcp in larger.arriving(c):
@@ -196,18 +212,18 @@ class Shard:
             for a in range(starts[c], starts[c + 1], BLOCK):
                 b = min(a + BLOCK, starts[c + 1])
                 lcp = seed_lcp[a:b].copy()
-                if a == starts[c]:
+                if a == starts[c] and prefixes:
                     lcp[0] = self.shared(tail, seeds[a : a + 1])[0] if tail is not None else 0
                 self._scan(larger, since, seeds[a:b], lcp, small=False)
         smaller = Queues(self.symbols)
-        since[:] = 0
+        since = np.zeros(self.symbols, np.uint8) if prefixes else None
         for c in reversed(range(1, self.symbols)):
             tail = None
             for at, lcp in smaller.arriving(c):
                 self._scan(smaller, since, at, lcp, small=True)
                 tail = at[-1:]
             for at, lcp in larger.backwards(c):
-                if tail is not None:
+                if tail is not None and prefixes:
                     lcp[0] = self.shared(tail, at[:1])[0]
                     tail = None
                 self._scan(smaller, since, at, lcp, small=True)
@@ -218,7 +234,7 @@ class Shard:
         text = self.text
         stars = np.flatnonzero(self.star)
         seeds = stars[np.argsort(text[stars], kind="stable")]
-        larger, smaller = self._pass(seeds, np.zeros(len(seeds), np.uint8))
+        larger, smaller = self._pass(seeds, np.zeros(len(seeds), np.uint8), prefixes=False)
         parts = [seeds[text[seeds] == 0]]
         for c in range(1, self.symbols):
             for at, _ in smaller.backwards(c):
@@ -260,7 +276,7 @@ class Shard:
         stars = self._sorted_stars()
         lcp = np.zeros(len(stars), np.uint8)
         lcp[1:] = self.shared(stars[:-1], stars[1:])
-        larger, smaller = self._pass(stars, lcp)
+        larger, smaller = self._pass(stars, lcp, prefixes=True)
         for c in range(1, self.symbols):
             tail = None
             for at, shared in larger.arriving(c):
