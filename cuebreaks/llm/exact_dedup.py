@@ -68,7 +68,10 @@ def bucket_of(keys: DataFrame, depth: int, bucket_keys: int = BUCKET_KEYS) -> Da
 def duplicate_groups(
     docs: DataFrame, bucket_keys: int = BUCKET_KEYS, stage: Stage | None = None
 ) -> DataFrame:
-    """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256`` and the ``bucket``."""
+    """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``, ``bucket`` and ``copies``.
+
+    ``copies`` counts the rows alike in id and text.
+    """
     stage = stage or Stage(docs.sparkSession)
     text = docs.select("doc_id", normalised().alias("body"))
     keyed = text.withColumn("hash", F.xxhash64("body"))
@@ -111,17 +114,21 @@ def duplicate_groups(
         (same("doc_id", "keep_id") & (F.col("copy") == 1)).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
         "bucket",
+        "copies",
     )
 
 
 def drop_duplicates(docs: DataFrame, bucket_keys: int = BUCKET_KEYS, stage: Stage | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
+    stage = stage or Stage(docs.sparkSession)
     groups = duplicate_groups(docs, bucket_keys, stage).filter("kept")
     taken = docs.columns
     key, digest = fresh(taken, "stays_id"), fresh(taken, "stays_digest")
-    stays = groups.select(F.col("doc_id").alias(key), F.unhex("text_sha256").alias(digest))
+    stays = groups.select(F.col("doc_id").alias(key), F.unhex("text_sha256").alias(digest), "copies")
+    stays = stage.write(stays, "stays")
     own = fresh(taken, "own_digest")
     marked = docs.withColumn(own, _digest(normalised()))
     kept = marked.join(stays, same("doc_id", key) & (F.col(own) == F.col(digest)), "left_semi")
-    # Only rows alike in id and text can still repeat; they already sit together.
-    return kept.dropDuplicates(["doc_id", own]).drop(own)
+    if not stays.filter("copies > 1").isEmpty():  # rows alike in id and text all match
+        kept = kept.dropDuplicates(["doc_id", own])
+    return kept.drop(own)

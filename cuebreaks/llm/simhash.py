@@ -250,7 +250,8 @@ def near_duplicates(
 
 def drop_near_duplicates(docs: DataFrame, stage: Stage | None = None, **options) -> DataFrame:
     """The row of each component with the smallest ``doc_id``, with all its columns."""
-    found = near_duplicates(docs, stage=stage, **options)
+    stage = stage or Stage(docs.sparkSession)
+    found = stage.write(near_duplicates(docs, stage=stage, **options), "found")
     names = {n: fresh(docs.columns, n) for n in ("stays_id", "stays_hash", "own_hash")}
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")
     stays = found.groupBy("root").agg(F.min(order).alias("first")).select(
@@ -259,5 +260,7 @@ def drop_near_duplicates(docs: DataFrame, stage: Stage | None = None, **options)
     own = names["own_hash"]
     on = same("doc_id", names["stays_id"]) & (F.col(own) == F.col(names["stays_hash"]))
     kept = docs.withColumn(own, row_hash()).join(stays, on, "left_semi")
-    # Only rows alike in id and text can still repeat; they already sit together.
-    return kept.dropDuplicates(["doc_id", own]).drop(own)
+    repeated = found.groupBy("doc_id", "text_hash").count().filter("count > 1")
+    if not repeated.isEmpty():  # rows alike in id and text all match
+        kept = kept.dropDuplicates(["doc_id", own])
+    return kept.drop(own)
