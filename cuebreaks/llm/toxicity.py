@@ -49,6 +49,7 @@ THREAT_WEIGHT = 4.0
 
 _WORDS = re.compile(r"[^\W\d_]+")
 _LONG = 1 << 20
+WORDS_KEPT = 300_000
 _CLAUSES = re.compile(r"[.!?;:,\n]+")
 
 
@@ -123,7 +124,7 @@ class Model:
         """Symbol and weight of a lower-case word."""
         found = self.known.get(word)
         if found is None:
-            if len(self.known) > 1_000_000:
+            if len(self.known) > WORDS_KEPT:
                 self.known.clear()
             weight = max((self.insults.get(f, 0.0) for f in features(word)), default=0.0)
             fixed = next((c for c, listed in CLASSES.items() if word in listed.split()), OTHER)
