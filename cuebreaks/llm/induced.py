@@ -23,7 +23,7 @@ import numpy as np
 
 CAP = 255  # what a prefix length can count to; a shard may ask for less
 BLOCK = 1 << 16
-HELD = 1 << 22  # tuples of all queues in memory before they go to the file
+HELD = 1 << 20  # tuples of all queues in memory before they go to the file; fewer than a shard has
 
 _TUPLE = np.dtype([("at", "<i8"), ("lcp", "u1")])
 

@@ -9,7 +9,10 @@
 3. Those segments are dealt by anchor. A task takes them in shards of whole anchors and sorts the suffixes of each shard by
    external induced sorting (``induced``). Neighbours that share ``length`` bytes or more hold equal windows:
    all but the earliest are repeats.
-4. The spans of a document meet its text once more, overlapping ones are joined and cut out.
+4. An anchor with more than ``shard_bytes`` of different segments, such as one at the edge of a passage that very
+   many documents hold, would outgrow a task. Its segments are taken window by window: equal windows meet by anchor
+   and digest, 128 bits of hash, merged to the earliest place before they move.
+5. The spans of a document meet its text once more, overlapping ones are joined and cut out.
 
 Defined cases: NULL text is empty; texts of less than ``length`` bytes lose nothing; a NULL ``doc_id`` comes before
 all others; rows alike in id and text are one place in the corpus and lose the same bytes.
@@ -36,6 +39,7 @@ SHARD_BYTES = 1 << 22
 _PLACE_BITS = 21
 _PIECE = 1 << 20
 _FREQUENT = 200_000  # segments a task remembers
+_HELD_SEGMENTS = 5000  # whose windows' digests a task holds
 
 _SEGMENT = "doc_id long, text_hash long, start long, size int, anchor long, digest long, copied boolean"
 
@@ -194,6 +198,34 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
+def _window_digests(length: int):
+    """The digests of all windows of the listed segments, one row per segment."""
+    from xxhash import xxh3_64_intdigest
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(found: list[tuple]) -> pa.RecordBatch:
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            names = ["anchor", "doc_id", "text_hash", "start", "digests"]
+            columns = zip(*found) if found else [[]] * 5
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+        for batch in batches:
+            found: list[tuple] = []
+            ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for doc_id, text_hash, body, listed in zip(ids, hashes, batch.column(2), batch.column(3)):
+                body = body.as_py()
+                for s in listed.as_py():
+                    places = range(s["start"], s["start"] + s["size"] - length + 1)
+                    digests = np.fromiter((xxh3_64_intdigest(body[a : a + length]) for a in places), np.uint64)
+                    found.append((s["anchor"], doc_id, text_hash, s["start"], digests.view(np.int64)))
+                    if len(found) >= _HELD_SEGMENTS:
+                        yield rows(found)
+                        found = []
+            yield rows(found)
+
+    return run
+
+
 def repeats_in_shard(document: np.ndarray, start: np.ndarray, bodies: list[bytes], length: int) -> tuple:
     """``segment, first, last``: runs of windows of each segment that repeat an earlier window of the shard.
 
@@ -272,6 +304,18 @@ def _shard_repeats(length: int, shard_bytes: int):
     return run
 
 
+def _window_repeats(segments: DataFrame, length: int) -> DataFrame:
+    """``doc_id, text_hash, start, stop`` of windows that repeat an earlier one; one row of ``segments`` has several."""
+    window = segments.select("anchor", "doc_id", "text_hash", "start", F.posexplode("digests").alias("at", "digest"))
+    place = F.struct("doc_id", "text_hash", (F.col("start") + F.col("at")).alias("start"))
+    window = window.select("anchor", "digest", place.alias("place"))
+    # Merged before the shuffle: windows inside a frequent passage are equal in all its documents.
+    earliest = window.groupBy("anchor", "digest").agg(F.min("place").alias("earliest"), F.max("place").alias("latest"))
+    several = earliest.filter(~F.col("earliest").eqNullSafe(F.col("latest"))).drop("latest")
+    later = window.join(several, ["anchor", "digest"]).filter(~F.col("place").eqNullSafe(F.col("earliest")))
+    return later.select("place.*", (F.col("place.start") + length).alias("stop"))
+
+
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Joins overlapping spans and cuts them out."""
     for batch in batches:
@@ -317,24 +361,34 @@ def remove_repeats(
         rows.withColumn("first", ~F.col("copied") & (F.rank().over(equal) == 1))
         .withColumn("n", F.count("*").over(around))
         .withColumn("mixed", F.min("digest").over(around) < F.max("digest").over(around))
+        .withColumn("crowded", F.sum(F.when(F.col("first"), F.col("size"))).over(around) > shard_bytes)
     )
     found = ranked.filter(F.col("copied") | (F.col("n") > 1) & (~F.col("first") | F.col("mixed")))
-    found = stage.write(found.select(*key, "start", "size", "anchor", "first"), "segments")
+    crowded = F.col("first") & F.col("crowded")
+    found = found.select(*key, "start", "size", "anchor", "first", crowded.alias("crowded"))
+    found = stage.write(found, "segments")
 
     def beside(listed: DataFrame, how: str) -> DataFrame:
         renamed = listed.withColumnsRenamed({"doc_id": "at_id", "text_hash": "at_hash"})
         on = same("doc_id", "at_id") & (F.col("text_hash") == F.col("at_hash"))
         return texts.join(renamed, on, how)
 
-    unsure = found.filter("first").groupBy(*key).agg(
-        F.collect_list(F.struct("start", "size", "anchor")).alias("listed")
+    def cut(listed: DataFrame) -> DataFrame:
+        places = listed.groupBy(*key).agg(F.collect_list(F.struct("start", "size", "anchor")).alias("listed"))
+        return beside(places, "inner").select(*key, "body", "listed")
+
+    shards = cut(found.filter("first and not crowded")).mapInArrow(
+        _cut_out, "anchor long, doc_id long, text_hash long, start long, body binary"
     )
-    cut = beside(unsure, "inner").select(*key, "body", "listed")
-    shards = cut.mapInArrow(_cut_out, "anchor long, doc_id long, text_hash long, start long, body binary")
     dealt = shards.repartition("anchor").sortWithinPartitions("anchor")
     compared = dealt.mapInArrow(
         _shard_repeats(length, shard_bytes), "doc_id long, text_hash long, start long, stop long"
     )
+    if not found.filter("crowded").isEmpty():
+        digests = cut(found.filter("crowded")).mapInArrow(
+            _window_digests(length), "anchor long, doc_id long, text_hash long, start long, digests array<long>"
+        )
+        compared = compared.union(_window_repeats(stage.write(digests, "windows"), length))
     copied = found.filter("not first").select(*key, "start", (F.col("start") + F.col("size")).alias("stop"))
     spans = copied.union(compared).groupBy(*key).agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     listed = beside(spans, "left").select("doc_id", "body", "spans")

@@ -59,6 +59,21 @@ def test_messy_texts(spark, seed):
     assert of(suffix_dedup.remove_repeats(docs(spark, rows), shard_bytes=3000)) == plain(rows)
 
 
+def test_an_anchor_with_very_many_versions(spark, monkeypatch):
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage = word(300)
+    rows = [(k, word(120) + passage + word(rng.randrange(0, 120))) for k in range(150)] + [(None, "x" + passage)]
+
+    def bounded(document, start, bodies, length, real=suffix_dedup.repeats_in_shard):
+        assert sum(map(len, bodies)) <= 2 * 4000, "a task holds all versions of an anchor"
+        return real(document, start, bodies, length)
+
+    monkeypatch.setattr(suffix_dedup, "repeats_in_shard", bounded)  # goes to the workers by value
+    found = of(suffix_dedup.remove_repeats(docs(spark, rows + rows[:9]), shard_bytes=4000))
+    assert found == sorted([r for r in plain(rows) for _ in range(1 + (r[0] in range(9)))], key=repr)
+
+
 def test_pieces_of_long_texts(spark, monkeypatch):
     rows = messy(9)
     monkeypatch.setattr(suffix_dedup, "_PIECE", 300)
