@@ -1,6 +1,10 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
 A lexical transducer turns words into symbols: insult (with a weight), threat, target, negation, report, other.
+A threat stays open for ``AFTER`` words, and a target among them settles it ("kill you"). Without one, a target
+up to ``BEFORE`` words earlier counts where the verb has no object of its own: at the clause's end ("you should kill")
+or as an infinitive of a language that puts the object first. A third person directly before the verb
+makes it an account ("they beat the record"), and "her" before another word owns that word ("her knee").
 Four more read the symbols of a clause and each put a factor on its insults and threats: one asks
 threats for a target, one strengthens what is aimed at a target, one weakens what is negated, one what is reported. They
 are composed into one machine. A clause counts its strongest match; a document's score adds up its clauses on
@@ -18,7 +22,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -36,15 +40,19 @@ MOST_WEIGHT = 6.0
 STEMS = (4, 5, 6)
 THRESHOLD = 0.7
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, THIRD, HER, FACED = SYMBOLS = range(9)
+AFTER, BEFORE = 3, 3
 
 # Fixed function words of the grammar, in the languages of the corpus.
 CLASSES = {
     THREAT: "kill hurt destroy beat shoot stab tuer frapper töten schlagen matar golpear",
-    TARGET: "you your yours he she they him her them vous toi tu ihr dich du usted tú",
+    TARGET: "you your yours him them vous toi tu ihr dich du usted tú",
+    THIRD: "he she they",
+    HER: "her",
     NEGATION: "not never neither nor pas jamais nicht nie kein keine nunca jamás",
     REPORT: "said says told wrote reported quoted claimed dit disait sagte schrieb dijo escribió",
 }
+INFINITIVES = frozenset("tuer frapper töten schlagen matar golpear".split())
 THREAT_WEIGHT = 4.0
 
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -69,7 +77,7 @@ def compose(*parts: Transducer) -> Transducer:
     todo, moves = list(number), {}
     while todo:
         states = todo.pop()
-        for symbol in range(6):
+        for symbol in SYMBOLS:
             steps = [p.step(s, symbol) for p, s in zip(parts, states)]
             after = tuple(s for s, _ in steps)
             if after not in number:
@@ -79,26 +87,39 @@ def compose(*parts: Transducer) -> Transducer:
     return Transducer(moves)
 
 
-def _scope(opener: int, reach: int, factor: float, symbols: tuple[int, ...]) -> Transducer:
-    """``factor`` on ``symbols`` within ``reach`` words after ``opener``; 0: up to the clause's end."""
+def _scope(openers: tuple[int, ...], reach: int, factor: float, symbols: tuple[int, ...]) -> Transducer:
+    """``factor`` on ``symbols`` within ``reach`` words after one of ``openers``; 0: up to the clause's end."""
     moves: dict[tuple[int, int], tuple[int, float]] = {}
     last = max(reach, 1)
     for state in range(last + 1):
-        for symbol in range(6):
-            after = last if symbol == opener else max(state - 1, 0) if reach else state
+        for symbol in SYMBOLS:
+            after = last if symbol in openers else max(state - 1, 0) if reach else state
             weakened = state > 0 and symbol in symbols
             moves[state, symbol] = (after, factor if weakened else 1.0)
     return Transducer(moves)
 
 
-NEGATED = _scope(NEGATION, 3, 0.3, (INSULT, THREAT))
-REPORTED = _scope(REPORT, 0, 0.5, (INSULT, THREAT))
-AIMED = _scope(TARGET, 4, 1.25, (INSULT,))
-#: A threat without a target before it counts nothing.
-THREATENED = Transducer({
-    (0, THREAT): (0, 0.0),
-    (0, TARGET): (1, 1.0),
-})
+NEGATED = _scope((NEGATION,), 3, 0.3, (INSULT, THREAT, FACED))
+REPORTED = _scope((REPORT,), 0, 0.5, (INSULT, THREAT, FACED))
+AIMED = _scope((TARGET, THIRD, HER), 4, 1.25, (INSULT,))
+
+
+def _threatened() -> Transducer:
+    """Threats count after a close target, faced ones always but directly after a third person.
+
+    State: words a target still reaches, and whether the last word was a third person.
+    """
+    moves: dict[tuple[int, int], tuple[int, float]] = {}
+    for left in range(BEFORE + 1):
+        for third in (0, 1):
+            for symbol in SYMBOLS:
+                after = BEFORE if symbol == TARGET else max(left - 1, 0)
+                void = symbol == THREAT and not left or symbol in (THREAT, FACED) and third
+                moves[2 * left + third, symbol] = (2 * after + (symbol == THIRD), 0.0 if void else 1.0)
+    return Transducer(moves)
+
+
+THREATENED = _threatened()
 GRAMMAR = compose(NEGATED, REPORTED, AIMED, THREATENED)
 
 
@@ -132,11 +153,37 @@ class Model:
             self.known[word] = found
         return found
 
+    def _settled(self, words: Iterable[str]) -> Iterator[tuple[int, float]]:
+        """Symbols and weights of a clause's words, each given out when the words after it are known."""
+        held: deque[tuple[int, float, str]] = deque()
+
+        def face() -> None:
+            for k in range(max(len(held) - AFTER - 1, 0), len(held)):
+                if held[k][0] == THREAT:
+                    held[k] = (FACED, *held[k][1:])
+
+        def given(last: bool) -> tuple[int, float]:
+            symbol, weight, word = held.popleft()
+            return (OTHER, 0.0) if symbol == THREAT and not last and word not in INFINITIVES else (symbol, weight)
+
+        for word in words:
+            symbol, weight = self.symbol(word)
+            if held and held[-1][0] == HER and symbol not in (OTHER, INSULT):
+                face()
+            held.append((symbol, weight, word))
+            if symbol == TARGET:
+                face()
+            if len(held) > AFTER + 1:
+                yield given(False)
+        if held and held[-1][0] == HER:
+            face()
+        while held:
+            yield given(len(held) == 1)
+
     def clause(self, words: Iterable[str]) -> float:
         """The weight of a clause's strongest match."""
         state, best = 0, 0.0
-        for word in words:
-            symbol, weight = self.symbol(word)
+        for symbol, weight in self._settled(words):
             state, factor = GRAMMAR.step(state, symbol)
             best = max(best, weight * factor)
         return best

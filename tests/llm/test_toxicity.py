@@ -31,6 +31,27 @@ def test_threats_need_a_target(model):
     assert model.clause("you should kill".split()) == tox.THREAT_WEIGHT
 
 
+@pytest.mark.parametrize("text, weight", [
+    ("i will kill you", 4.0),
+    ("we are going to hurt them", 4.0),
+    ("kill all of you", 4.0),
+    ("kill anybody who ever looks at you", 0.0),  # out of reach
+    ("i will not kill you", 4.0 * 0.3),
+    ("she said i will kill you", 4.0 * 0.5),
+    ("he will kill her", 4.0),
+    ("ich werde dich töten", 4.0),
+    ("je vais vous tuer demain", 4.0),
+    ("they beat the record", 0.0),
+    ("you beat the record", 0.0),
+    ("she hurt her knee", 0.0),
+    ("he beat them", 0.0),
+    ("you know very well whom we all should kill", 0.0),
+])
+def test_threats_are_settled_by_a_close_target(model, text, weight):
+    assert model.clause(text.split()) == pytest.approx(weight)
+    assert (model.score(f"Hello. {text}!") > 0.7) == (weight == 4.0)
+
+
 def test_scores_add_up_clauses_and_are_probabilities(model):
     one, two = model.score("An idiot."), model.score("An idiot. What, idiot!")
     assert 0 < model.score(None) == model.score("") < 0.2 < 0.9 < one < two < 1
