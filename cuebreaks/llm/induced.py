@@ -8,7 +8,8 @@ within a byte the order of arrival is the order of suffixes. A queue holds tuple
 prefix shared with the tuple before it); beyond a stated amount they go to a scratch file of the task.
 
 Shared prefixes are induced with the tuples: two neighbours in a queue share one byte more than the least prefix
-shared between the scanned suffixes that sent them. They count up to a stated length, 255 at most.
+shared between the scanned suffixes that sent them. They count up to a stated length, in a byte each if it is 255 at
+most, else in four.
 
 The S* suffixes are sorted by a recursion of its kind: S* substrings by one induction without prefixes, which
 gives names; the string of names, whose alphabet is too large for a queue each, by doubling.
@@ -21,20 +22,24 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CAP = 255  # what a prefix length can count to; a shard may ask for less
+CAP = 255  # what a prefix length counts to unless a shard asks for less or more
 BLOCK = 1 << 16
 HELD = 1 << 20  # tuples of all queues in memory before they go to the file; fewer than a shard has
 
-_TUPLE = np.dtype([("at", "<i8"), ("lcp", "u1")])
+
+def _counter(cap: int) -> np.dtype:
+    """The type of prefix lengths up to ``cap``."""
+    return np.dtype(np.uint8 if cap <= 255 else np.uint32)
 
 
 class Queues:
     """First-in-first-out queues of tuples, one per symbol, over one scratch file."""
 
-    def __init__(self, symbols: int, held: int = HELD):
+    def __init__(self, symbols: int, cap: int, held: int = HELD):
         self.parts: list[list] = [[] for _ in range(symbols)]
         self.count = 0
         self.held = held
+        self.tuple = np.dtype([("at", "<i8"), ("lcp", _counter(cap))])
         self.file = None
 
     def push(self, symbol: int, at: np.ndarray, lcp: np.ndarray) -> None:
@@ -49,7 +54,7 @@ class Queues:
         for parts in self.parts:
             for k, part in enumerate(parts):
                 if isinstance(part[0], np.ndarray):
-                    tuples = np.empty(len(part[0]), _TUPLE)
+                    tuples = np.empty(len(part[0]), self.tuple)
                     tuples["at"], tuples["lcp"] = part
                     parts[k] = (self.file.tell(), len(tuples))
                     self.file.write(tuples.tobytes())
@@ -60,7 +65,7 @@ class Queues:
             return part
         start, count = part
         self.file.seek(start)
-        tuples = np.frombuffer(self.file.read(count * _TUPLE.itemsize), _TUPLE)
+        tuples = np.frombuffer(self.file.read(count * self.tuple.itemsize), self.tuple)
         return tuples["at"].copy(), tuples["lcp"].copy()
 
     def arriving(self, symbol: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -80,7 +85,7 @@ class Queues:
 
     def backwards(self, symbol: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Blocks from the tail; each prefix is shared with the tuple that comes before in this order."""
-        carried = np.uint8(0)  # prefix shared by the block's first tuple here and the one after it in the queue
+        carried = 0  # prefix shared by the block's first tuple here and the one after it in the queue
         parts = self.parts[symbol]
         k = len(parts)
         while k:
@@ -102,7 +107,7 @@ class Queues:
 
 
 class _LeastBetween:
-    """Minimum of any range of a short array of bytes."""
+    """Minimum of any range of a short array of prefix lengths."""
 
     def __init__(self, values: np.ndarray):
         self.rows = [values]
@@ -111,9 +116,10 @@ class _LeastBetween:
             self.rows.append(np.minimum(last[:-half], last[half:]))
 
     def __call__(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """Minima over ``low..high`` inclusive; 255 where empty."""
+        """Minima over ``low..high`` inclusive; the most its type holds where empty."""
         size = high - low + 1
-        found = np.full(len(low), CAP, np.uint8)
+        kind = self.rows[0].dtype
+        found = np.full(len(low), np.iinfo(kind).max, kind)
         level = np.zeros(len(low), np.int64)
         level[size > 0] = np.log2(size[size > 0]).astype(np.int64)
         for k in np.unique(level[size > 0]).tolist():
@@ -132,6 +138,7 @@ class Shard:
     def __init__(self, text: np.ndarray, cap: int = CAP):
         self.text = text
         self.cap = cap
+        self.kind = _counter(cap)
         n = len(text)
         rise = np.sign(np.diff(text.astype(np.int16)))
         at = np.where(rise != 0, np.arange(n - 1), n)
@@ -146,7 +153,7 @@ class Shard:
     def shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the prefix shared by the suffixes at ``a`` and ``b``, up to the cap."""
         text, n = self.text, len(self.text)
-        found = np.zeros(len(a), np.uint8)
+        found = np.zeros(len(a), self.kind)
         live = np.arange(len(a))
         for k in range(self.cap):
             # A separator ends the text, so the smaller place is always inside.
@@ -177,7 +184,7 @@ class Shard:
         sends, symbol = sends[order], symbol[order]
         first = np.flatnonzero(np.r_[True, symbol[1:] != symbol[:-1]]) if len(sends) else sends
         if since is None:
-            sent, none = before[sends], np.zeros(len(sends), np.uint8)
+            sent, none = before[sends], np.zeros(len(sends), self.kind)
             for a, b in zip(first, [*first[1:], len(sends)]):
                 queues.push(int(symbol[a]), sent[a:b], none[a:b])
             return
@@ -191,7 +198,7 @@ class Shard:
         borders = np.r_[first, len(sends)]
         for a, b in zip(borders, borders[1:]):
             c = int(symbol[a])
-            values = grown[a:b].astype(np.uint8)
+            values = grown[a:b].astype(self.kind)
             if not queues.parts[c]:
                 values[0] = 0
             queues.push(c, before[sends[a:b]], values)
@@ -202,8 +209,8 @@ class Shard:
         """Queues of L suffixes upwards and of S suffixes downwards, from sorted seeds."""
         text = self.text
         starts = np.searchsorted(text[seeds], np.arange(self.symbols + 1))
-        larger = Queues(self.symbols)
-        since = np.zeros(self.symbols, np.uint8) if prefixes else None
+        larger = Queues(self.symbols, self.cap)
+        since = np.zeros(self.symbols, self.kind) if prefixes else None
         for c in range(self.symbols):
             tail = None
             for at, lcp in larger.arriving(c):
@@ -215,8 +222,8 @@ class Shard:
                 if a == starts[c] and prefixes:
                     lcp[0] = self.shared(tail, seeds[a : a + 1])[0] if tail is not None else 0
                 self._scan(larger, since, seeds[a:b], lcp, small=False)
-        smaller = Queues(self.symbols)
-        since = np.zeros(self.symbols, np.uint8) if prefixes else None
+        smaller = Queues(self.symbols, self.cap)
+        since = np.zeros(self.symbols, self.kind) if prefixes else None
         for c in reversed(range(1, self.symbols)):
             tail = None
             for at, lcp in smaller.arriving(c):
@@ -234,7 +241,7 @@ class Shard:
         text = self.text
         stars = np.flatnonzero(self.star)
         seeds = stars[np.argsort(text[stars], kind="stable")]
-        larger, smaller = self._pass(seeds, np.zeros(len(seeds), np.uint8), prefixes=False)
+        larger, smaller = self._pass(seeds, np.zeros(len(seeds), self.kind), prefixes=False)
         parts = [seeds[text[seeds] == 0]]
         for c in range(1, self.symbols):
             for at, _ in smaller.backwards(c):
@@ -274,7 +281,7 @@ class Shard:
     def runs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The suffixes of each first byte in order, with the prefix shared with the one before, in blocks."""
         stars = self._sorted_stars()
-        lcp = np.zeros(len(stars), np.uint8)
+        lcp = np.zeros(len(stars), self.kind)
         lcp[1:] = self.shared(stars[:-1], stars[1:])
         larger, smaller = self._pass(stars, lcp, prefixes=True)
         for c in range(1, self.symbols):

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cuebreaks.llm.induced import CAP, Shard
+from cuebreaks.llm.induced import Shard
 from cuebreaks.llm.inputs import row_hash, same, ship_package
 from cuebreaks.sources.staging import Stage
 
@@ -247,7 +247,7 @@ def repeats_in_shard(document: np.ndarray, start: np.ndarray, bodies: list[bytes
         place = order[segment] + at - begin[segment]
         repeat[at[place > place.min()]] = True
 
-    for at, shared in Shard(data, min(length, CAP)).runs():
+    for at, shared in Shard(data, length).runs():
         heads = np.flatnonzero(shared < length)
         if not len(heads):
             parts.append(at)

@@ -59,6 +59,16 @@ def test_messy_texts(spark, seed):
     assert of(suffix_dedup.remove_repeats(docs(spark, rows), shard_bytes=3000)) == plain(rows)
 
 
+@pytest.mark.parametrize("length", [256, 300])
+def test_windows_longer_than_a_byte_counts(spark, length):
+    rng = random.Random(length)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage = word(500)
+    rows = [(k, word(90) + passage + word(90)) for k in range(5)] + [(9, passage[: length - 1]), (10, passage[-length:])]
+    found = of(suffix_dedup.remove_repeats(docs(spark, rows), length=length))
+    assert found == plain(rows, length) and sum(r[2] for r in found) >= 4 * 500 + length
+
+
 def test_an_anchor_with_very_many_versions(spark, monkeypatch):
     rng = random.Random(5)
     word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
