@@ -6,7 +6,11 @@
    overflowing, so only overfull ones are split. The buckets are ranges of the hash's leading bits.
 3. Texts are compared byte by byte: they are grouped by bucket, hash and the text itself, with copies
    merged before the shuffle, however many there are. Different texts of one hash form a chain.
-4. The pages (one line per distinct text) are written to the shared folder by bucket and looked up by the entries.
+4. The pages (one line per distinct text) are written to the shared folder, each task's sorted by bucket, and looked up by
+   the entries by hash and digest.
+
+The bucket is a function of the hash and only labels the pages: no task owns a bucket. Grouping and lookup are dealt by Spark's
+own hashes, which do the owners' work.
 
 Defined cases: NULL text is an empty text, a NULL ``doc_id`` counts as smaller than any other, and of
 rows alike in ``doc_id`` and text one stays.
