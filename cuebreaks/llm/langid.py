@@ -38,46 +38,49 @@ def _letters() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(1 << _BITS)])
 
 
-def _words(text: str) -> np.ndarray:
-    """Code points of the lower-case letters, with one zero between and around words."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), "<u4").astype(np.int64)
-    points = np.where(points < (1 << _BITS), points, 0)
-    points = np.where(_letters()[points], points, 0)
-    points = np.concatenate(([0], points, [0]))
-    keep = points != 0
-    keep[1:] |= points[:-1] != 0
-    keep[0] = True
-    return points[keep]
+def _pieces(text: str) -> Iterator[tuple[np.ndarray, int]]:
+    """Code points of the lower-case letters, with one zero between and around words, in pieces.
 
-
-def ngrams(text: str) -> np.ndarray:
-    """Codes of the n-grams (one to three letters, blank-padded words) of a text, repeats included."""
-    points = _words(text)
-    letter = points != 0
-    found = [points[letter] | (1 << 3 * _BITS)]
+    Each piece but the first begins with the last two points of the one before, so that no n-gram is lost or cut; the
+    number of such points comes with it.
+    """
+    low = text.lower()
+    carried = np.zeros(1, np.int64)
+    for at in range(0, max(len(low), 1), _CHUNK):
+        points = np.frombuffer(low[at : at + _CHUNK].encode("utf-32-le", "replace"), "<u4").astype(np.int64)
+        points = np.where(points < (1 << _BITS), points, 0)
+        points = np.where(_letters()[points], points, 0)
+        end = [0] if at + _CHUNK >= len(low) else []
+        points = np.concatenate((carried, points, end)).astype(np.int64)
+        keep = points != 0
+        keep[1:] |= points[:-1] != 0
+        keep[: len(carried)] = True
+        points = points[keep]
+        yield points, len(carried)
+        carried = points[-2:]
+
+
+def _ngrams(points: np.ndarray, carried: int) -> np.ndarray:
+    """Codes of the n-grams that end behind the carried points."""
+    own = points[carried:]
+    found = [own[own != 0] | (1 << 3 * _BITS)]
     pairs = (points[:-1] << _BITS) | points[1:]
-    found.append(pairs[pairs != 0] | (2 << 3 * _BITS))
+    new = pairs[carried - 1 :]
+    found.append(new[new != 0] | (2 << 3 * _BITS))
     triples = (pairs[:-1] << _BITS) | points[2:]
     # A blank inside would join two words.
-    found.append(triples[letter[1:-1]] | (3 << 3 * _BITS))
+    found.append(triples[points[1:-1] != 0] | (3 << 3 * _BITS))
     return np.concatenate(found)
 
 
-def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams of a text and their counts; long texts are counted piece by piece.
+def ngrams(text: str) -> np.ndarray:
+    """Codes of the n-grams (one to three letters, blank-padded words) of a text, repeats included."""
+    return np.concatenate([_ngrams(*piece) for piece in _pieces(text)])
 
-    A gram over the border of two pieces is lost, so texts are cut at a blank where there is one.
-    """
-    parts = []
-    at = 0
-    while at < len(text):
-        end = at + _CHUNK
-        if end < len(text):
-            blank = text.rfind(" ", at, end)
-            end = blank if blank > at else end
-        parts.append(np.unique(ngrams(text[at:end]), return_counts=True))
-        at = end
-    return _merged(parts)
+
+def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of a text and their counts; long texts are counted piece by piece."""
+    return _merged([np.unique(_ngrams(*piece), return_counts=True) for piece in _pieces(text)])
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:

@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 
 import duckdb
+import pytest
 from llm_helpers import docs
 from pyspark.sql import functions as F
 
@@ -41,6 +42,14 @@ def test_counts_of_grams():
         assert dict(zip(grams.tolist(), counts.tolist())) == {code(g): n for g, n in plain_grams(text).items()}
 
 
+@pytest.mark.parametrize("chunk", [1, 2, 3, 7])
+@pytest.mark.parametrize("text", ["", "  ", "aé", "語言識別沒有空格" * 9, "one\ntwo\tthree;;four\n\n" * 5, "a1b22cc  ddd" * 5 + "\n"])
+def test_no_ngram_is_lost_between_pieces(monkeypatch, chunk, text):
+    whole = [part.tolist() for part in langid.counted(text)]
+    monkeypatch.setattr(langid, "_CHUNK", chunk)
+    assert [part.tolist() for part in langid.counted(text)] == whole
+
+
 def test_long_texts_are_counted_in_pieces(monkeypatch):
     monkeypatch.setattr(langid, "_CHUNK", 50)
     text = "some words of a text " * 40
