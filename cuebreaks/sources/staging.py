@@ -30,6 +30,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app].name
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder by the file system it lies in, as executors may not share the driver's disks."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Stage:
     """Writes relations as Parquet below the shared folder and hands back a scan of them.
 
@@ -41,7 +47,7 @@ class Stage:
         self.spark = spark
         self.app = spark.conf.get("spark.app.id")
         self.root = f"{root or shared_dir(spark)}/cuebreaks-stage/{uuid.uuid4().hex}"
-        self._written: list[tuple[str, DataFrame]] = []
+        self._written: list[tuple[str, DataFrame | None]] = []
         if not lasting:  # else it stays until released by name
             _OPEN.append(self)
 
@@ -52,11 +58,17 @@ class Stage:
         self._written.append((path, staged))
         return staged
 
+    def drop(self, staged: DataFrame) -> None:
+        """Delete one staged relation that nothing reads any more."""
+        for place, (path, written) in enumerate(self._written):
+            if written is staged:
+                _delete(self.spark, path)
+                self._written[place] = (path, None)
+
     def release(self) -> None:
-        """Free the space; call it after the last action that reads a staged relation."""
-        for path, staged in self._written:
-            empty = self.spark.createDataFrame([], staged.schema)
-            empty.write.mode("overwrite").parquet(path)
+        """Delete all of it; call it after the last action that reads a staged relation."""
+        if self._written:
+            _delete(self.spark, self.root)
         self._written.clear()
         if self in _OPEN:
             _OPEN.remove(self)
