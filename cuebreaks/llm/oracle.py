@@ -306,6 +306,102 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
 FROM placed
 """
 
+# Code points that only ASCII letters change.
+OP11 = rf"""
+WITH RECURSIVE {CRC_TABLE},
+run AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, count(*) AS n,
+    translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS r FROM documents)
+  GROUP BY ALL
+),
+told AS (
+  SELECT low, n, [('0x' || d)::BIGINT FOR d IN
+    string_split(regexp_replace(hex(encode(id || ':' || low)), '(..)', ',\1', 'g'), ',')[2:]] AS bytes
+  FROM run
+),
+summed AS (SELECT low, n, {crc32("bytes")} AS h FROM told, crc_table),
+word AS (
+  SELECT CASE WHEN h % 97 = 0 THEN low[: h % length(low)] || low[h % length(low) + 2 :] ELSE low END AS word,
+    CAST(sum(n) AS BIGINT) AS n
+  FROM summed GROUP BY ALL
+),
+known AS (SELECT * FROM word WHERE length(word) >= 5 AND n >= 3),
+cut AS (
+  SELECT word, n, i, word[: i - 1] || word[i + 1 :] AS body
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM known)
+),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b USING (i, body) WHERE a.word <> b.word
+  UNION
+  SELECT known.word, cut.word, cut.n FROM known JOIN cut ON known.word = cut.body
+  UNION
+  SELECT cut.word, known.word, known.n FROM known JOIN cut ON known.word = cut.body
+),
+best AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS most, arg_min(other, (-other_n, other)) AS other
+  FROM near GROUP BY word
+),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN most >= 2 * n THEN other END AS form,
+    CASE WHEN most >= 2 * n THEN most END AS form_n
+  FROM known LEFT JOIN best USING (word)
+),
+walk AS (
+  SELECT word, word AS root, form AS next FROM formed
+  UNION ALL
+  SELECT walk.word, formed.word, formed.form FROM walk JOIN formed ON formed.word = walk.next
+)
+SELECT word, form, root, n, n_near, form_n
+FROM formed JOIN (SELECT word, root FROM walk WHERE next IS NULL) USING (word)
+"""
+
+
+def op12(rounds: int) -> str:
+    """Rounds of assigning and replacing, one after the other; ``k`` numbers centroids and ``d`` components."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS (
+  SELECT id, k, sum((x - c) * (x - c)) AS distance
+  FROM part JOIN centroid{r} USING (d) GROUP BY id, k
+),
+placed{r} AS (
+  SELECT id, min(distance) AS distance, arg_min(k, (distance, k)) AS k FROM near{r} GROUP BY id
+)""")
+        if r < rounds:
+            steps.append(f"""
+mean{r} AS (
+  SELECT k, d, sum(x) AS s, count(*) AS n FROM part JOIN placed{r} USING (id) GROUP BY k, d
+),
+centroid{r + 1} AS (
+  SELECT k, d, CASE WHEN n IS NULL THEN c ELSE (s - ((s % n) + n) % n) // n END AS c
+  FROM centroid{r} LEFT JOIN mean{r} USING (k, d)
+)""")
+    return f"""
+WITH usable AS (
+  SELECT row_number() OVER () AS id, vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF isfinite(x)]) = 64
+),
+part AS (SELECT id, unnest(range(64)) AS d, unnest(v) AS x FROM usable),
+first AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS k, v
+  FROM usable ORDER BY k LIMIT 16
+),
+centroid0 AS (SELECT k, unnest(range(64)) AS d, unnest(v) AS c FROM first),
+{",".join(steps)},
+told AS (
+  SELECT k, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM centroid{rounds} GROUP BY k
+)
+SELECT vec_id, CAST(k AS INT) AS cluster, CAST(distance AS BIGINT) AS distance,
+  CAST(sum(distance) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM usable JOIN placed{rounds} USING (id) JOIN told USING (k)
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op3_chat_formatting": OP3,
     "op5_suffix_dedup": OP5,
@@ -314,4 +410,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_language_id": OP8,
     "op9_pii": OP9,
     "op10_sharding": OP10,
+    "op11_spelling": OP11,
+    "op12_centroids": op12(3),
 }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuebreaks.llm import chat, decontam, exact_dedup, langid, packing, pii, sharding, simhash, suffix_dedup, toxicity
+from cuebreaks.llm import (
+    centroids,
+    chat,
+    decontam,
+    exact_dedup,
+    langid,
+    packing,
+    pii,
+    sentencepiece_bpe,
+    sharding,
+    simhash,
+    spelling,
+    suffix_dedup,
+    toxicity,
+)
 from cuebreaks.llm.inputs import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +40,13 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def piece_model() -> str:
+    """The SentencePiece model named by the contract."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 @_registered
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
@@ -153,3 +174,30 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@_registered
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+@_registered
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    told = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return placed.select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", told.alias("centroid_sha256")
+    )
+
+
+@_registered
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = piece_model()
+    ids = sentencepiece_bpe.encode(table(spark, sf_dir, "documents"), model, ["doc_id"])
+    texts = sentencepiece_bpe.decode(ids, model)
+    return texts.select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

@@ -8,7 +8,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
-TABLES = "documents benchmark labels conversations".split()
+TABLES = "documents benchmark labels conversations embeddings".split()
 
 #: Names that the operators use inside, as columns of the input.
 CLASHING = (

@@ -15,7 +15,7 @@ from cuebreaks.llm.queries import QUERIES
 def test_every_query_is_registered():
     assert {*QUERIES, "pipeline"} <= contract.queries().keys()
     assert ORACLE_SQL.keys() <= contract.oracle_sql().keys()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ORACLE_SQL)
