@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 
+from cuebreaks.sources.exchange import exchange_for, recover, swap
+
 
 def is_path(table: str) -> bool:
     return "/" in table
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
-    """A catalog table by its (one- to three-part) name, or Parquet files by their path."""
+    """A catalog table by its (one- to three-part) name, or Parquet files by their path.
+
+    If an exchange of the target was cut short and left it incomplete or away, that is ended first.
+    """
+    if exchange_for(spark, table).interrupted():
+        recover(spark, table)
     return spark.read.parquet(table) if is_path(table) else spark.table(table)
 
 
@@ -37,8 +44,33 @@ def locations(spark: SparkSession, table: str) -> set[str]:
     details = {r.col_name: r.data_type for r in described}
     if details.get("Location") and details.get("Type") != "VIEW":
         return {_qualified(spark, details["Location"])}
-    files = spark.table(table).inputFiles()
-    return {_qualified(spark, f.rsplit("/", 1)[0]) for f in files}
+    analysed = spark.table(table)._jdf.queryExecution().analyzed()
+    return {_qualified(spark, f) for plan in _plans(analysed) for f in _folders(plan)}
+
+
+def _listed(found: JavaObject) -> Iterator[JavaObject]:
+    """The members of a Scala sequence."""
+    return (found.apply(k) for k in range(found.size()))
+
+
+def _plans(root: JavaObject) -> Iterator[JavaObject]:
+    """All nodes of an analysed plan, those of subqueries too."""
+    todo = [root]
+    while todo:
+        plan = todo.pop()
+        yield plan
+        todo.extend(_listed(plan.children()))
+        todo.extend(_listed(plan.subqueries()))
+
+
+def _folders(plan: JavaObject) -> list[str]:
+    """The folders of a file relation as the catalog or the reader named them; no file is listed."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "HiveTableRelation":
+        return [plan.tableMeta().location().toString()]
+    if kind == "LogicalRelation" and plan.relation().getClass().getSimpleName() == "HadoopFsRelation":
+        return [path.toString() for path in _listed(plan.relation().location().rootPaths())]
+    return []
 
 
 def check_target(spark: SparkSession, target: str, sources: Iterable[str]) -> None:
@@ -57,37 +89,6 @@ def check_target(spark: SparkSession, target: str, sources: Iterable[str]) -> No
             raise ValueError(f"{target} is also read by the query that would replace it")
 
 
-def _swap_path(df: DataFrame, target: str, partition_by: list[str]) -> None:
-    """Write beside the target, then exchange the folders; a failed write leaves the old content."""
-    spark = df.sparkSession
-    new, old = (f"{target.rstrip('/')}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
-    df.write.format("parquet").partitionBy(*partition_by).save(new)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
-    if files.exists(path(target)):
-        files.rename(path(target), path(old))
-    if not files.rename(path(new), path(target)):
-        files.rename(path(old), path(target))
-        raise OSError(f"{target} could not be replaced; the new content is in {new}")
-    files.delete(path(old), True)
-
-
-def _swap_table(df: DataFrame, target: str, partition_by: list[str]) -> None:
-    """Write a table beside the target, then exchange the names."""
-    spark = df.sparkSession
-    *scope, name = target.split(".")
-    new, old = (".".join([*scope, f"{name.strip('`')}_{k}_{uuid.uuid4().hex}"]) for k in ("new", "old"))
-    df.write.format("parquet").partitionBy(*partition_by).saveAsTable(new)
-    existed = spark.catalog.tableExists(target)
-    if existed:
-        spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {new} RENAME TO {target}")
-    if partition_by:  # the folders of partitions have moved with the table
-        spark.sql(f"ALTER TABLE {target} RECOVER PARTITIONS")
-    if existed:
-        spark.sql(f"DROP TABLE {old}")
-
-
 def replace_table(
     df: DataFrame,
     target: str,
@@ -99,19 +100,19 @@ def replace_table(
 
     ``sources`` are the tables ``df`` reads. With ``atomic`` the new content is complete before the old one
     goes: by one create-or-replace step in a catalog that has it (three-part names of other catalogs),
-    otherwise by writing beside the target and exchanging the two.
+    otherwise by writing beside the target and exchanging the two. An exchange that was cut short is
+    ended by the next ``replace_table``, or by ``read_table`` if the target is incomplete.
     """
     check_target(df.sparkSession, target, sources)
     partition_by = list(partition_by)
-    if atomic and is_path(target):
-        return _swap_path(df, target, partition_by)
     if atomic and target.count(".") == 2 and not target.startswith("spark_catalog."):
         writer = df.writeTo(target)
         if partition_by:
             writer = writer.partitionedBy(*[df[c] for c in partition_by])
         return writer.createOrReplace()
     if atomic:
-        return _swap_table(df, target, partition_by)
+        return swap(df, target, partition_by)
+    recover(df.sparkSession, target)  # else what an exchange left behind would win later
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

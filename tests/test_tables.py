@@ -2,13 +2,15 @@
 
 import datetime as dt
 import importlib
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from cuebreaks import build_summary_table
-from cuebreaks.sources import Stage, read_table, release_staged, replace_table, shared_dir
+from cuebreaks.sources import Stage, exchange, read_table, recover, release_staged, replace_table, shared_dir
 from cuebreaks.sources.derived import cue_inputs
+from cuebreaks.sources.tables import locations
 from helpers import SMALL, bag
 
 
@@ -24,7 +26,119 @@ def test_stage_round_trip_and_release(spark):
     assert bag(staged) == bag(frame)
     path = staged.inputFiles()[0].rsplit("/", 1)[0]
     stage.release()
-    assert spark.read.schema(staged.schema).parquet(path).isEmpty()
+    assert not os.path.exists(path.removeprefix("file:")) and not os.path.exists(stage.root)
+    stage.release()
+
+
+def test_one_staged_relation_is_dropped(spark):
+    stage = Stage(spark)
+    first, second = (stage.write(spark.range(n), "numbers") for n in (3, 4))
+    stage.drop(first)
+    assert [os.path.exists(path) for path, _ in stage._written] == [False, True]
+    assert stage.write(spark.range(5), "numbers").count() == 5 and second.count() == 4
+    stage.release()
+
+
+STEPS = ["announce", "retire", "promote", "finish"]
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("at", STEPS)
+@pytest.mark.parametrize("when", ["before", "after"])
+@pytest.mark.parametrize(
+    "kind, existed, partition_by",
+    [("path", True, []), ("path", False, ["day"]), ("table", True, ["day"]), ("table", False, [])],
+)
+def test_exchange_cut_short_is_ended(spark, tmp_path, monkeypatch, kind, at, when, existed, partition_by):
+    target = str(tmp_path / "t") if kind == "path" else f"cut_{at}_{when}_{existed}_{len(partition_by)}"
+    place = exchange.PathExchange if kind == "path" else exchange.TableExchange
+    rows = lambda n: spark.range(n).withColumn("day", F.col("id") % 2)
+    if existed:
+        replace_table(rows(5), target)
+    step = getattr(place, at)
+
+    def stopping(self, intent):
+        if when == "after":
+            step(self, intent)
+        raise Stopped
+
+    with monkeypatch.context() as cut:
+        cut.setattr(place, at, stopping)
+        with pytest.raises(Stopped):
+            replace_table(rows(3), target, atomic=True, partition_by=partition_by)
+    begun = (at, when) != ("announce", "before")
+    if begun or existed:
+        seen = read_table(spark, target).count()
+        retired = (at, when) not in (("announce", "before"), ("announce", "after"), ("retire", "before"))
+        assert seen == (3 if retired or not existed else 5)
+    assert recover(spark, target) in (begun, False)
+    assert not recover(spark, target)
+    if begun or existed:
+        spark.catalog.refreshTable(target) if kind == "table" else None
+        assert read_table(spark, target).count() == (3 if begun else 5)
+    replace_table(rows(2), target, atomic=True, partition_by=partition_by)
+    assert read_table(spark, target).count() == 2
+    if begun:  # nothing is left beside the target
+        if kind == "path":
+            assert os.listdir(tmp_path) == ["t"]
+        else:
+            assert spark.sql(f"SHOW TABLES LIKE '{target.lower()}*'").count() == 1
+
+
+def test_stopped_twice(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "t")
+    replace_table(spark.range(5), target)
+    for at in ("promote", "finish", "finish"):
+        with monkeypatch.context() as cut:
+            cut.setattr(exchange.PathExchange, at, lambda self, intent: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                replace_table(spark.range(7), target, atomic=True)
+    assert recover(spark, target) and read_table(spark, target).count() == 7
+    assert os.listdir(tmp_path) == ["t"]
+
+
+def test_plain_replace_ends_an_exchange_first(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "t")
+    with monkeypatch.context() as cut:
+        cut.setattr(exchange.PathExchange, "promote", lambda self, intent: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            replace_table(spark.range(7), target, atomic=True)
+    replace_table(spark.range(2), target)
+    assert read_table(spark, target).count() == 2 and not recover(spark, target)
+
+
+def test_stores_without_rename_are_refused(spark, monkeypatch):
+    class Uri:
+        def getScheme(self):
+            return "s3a"
+
+    class Files:
+        def getUri(self):
+            return Uri()
+
+    place = exchange.PathExchange(spark, "/tmp/any")
+    place.files = Files()
+    with pytest.raises(ValueError, match="atomic"):
+        place.check_store()
+
+
+def test_view_is_followed_to_its_folders_without_listing_files(spark, monkeypatch):
+    for name in ("seen_a", "seen_b", "seen_c"):
+        replace_table(spark.range(3), name)
+    spark.sql(
+        "CREATE OR REPLACE VIEW seen_view AS WITH a AS (SELECT * FROM seen_a WHERE id IN (SELECT id FROM seen_b)) "
+        "SELECT a.id, (SELECT max(id) FROM seen_c) AS m FROM a"
+    )
+    spark.sql("CREATE OR REPLACE VIEW seen_outer AS SELECT * FROM seen_view WHERE 1 = 0")
+    monkeypatch.setattr(type(spark.range(1)), "inputFiles", lambda self: 1 / 0)
+    found = locations(spark, "seen_outer")
+    assert sorted(f.rsplit("/", 1)[1] for f in found) == ["seen_a", "seen_b", "seen_c"]
+    for name in ("seen_a", "seen_b", "seen_c"):
+        with pytest.raises(ValueError, match="replace"):
+            replace_table(spark.range(1), name, sources=["seen_outer"])
 
 
 @pytest.mark.parametrize("target", ["summary_target", "path"])
