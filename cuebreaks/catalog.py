@@ -141,11 +141,10 @@ def _specified(inputs: CueInputs) -> DataFrame:
         ["Primary_Genre"],
         "normalized",
     )
-    return (
+    return ops.distinct_rows(
         matched.withColumn("_seconds", R.whole_number("assetDuration"))
         .withColumn("ad_spec", R.ad_spec("assetDuration", "Primary_Genre", "_seconds"))
         .drop("_seconds")
-        .distinct()
     )
 
 
@@ -202,9 +201,9 @@ def _placed(cues: DataFrame) -> DataFrame:
 
 def group_fallback_fill(inputs: CueInputs) -> DataFrame:
     cues = _placed(inputs.cues).select(*EPISODE, "assetExternalID")
-    genred = ops.metadata_join(
-        cues, inputs.metadata, "assetExternalID", "ContentID", GENRES, "exact"
-    ).distinct()
+    genred = ops.distinct_rows(
+        ops.metadata_join(cues, inputs.metadata, "assetExternalID", "ContentID", GENRES, "exact")
+    )
     eligible = (F.col("SeasonNumber") != 0) & (F.col("EpisodeNumber") != 0)
     genred = _staged(genred, "genred")
     return ops.group_fallback_fill(genred, "Video_Series_Name", GENRES, eligible)

@@ -31,6 +31,7 @@ from cuebreaks.operators.skew import HotKeys, find_hot, hot_keys, join_on, sprea
 from cuebreaks.operators.versions import (
     current_versions,
     dedup_full_row,
+    distinct_rows,
     latest_snapshot,
     open_records,
     prune_then_dedup,
@@ -43,6 +44,7 @@ __all__ = [
     "break_interval",
     "current_versions",
     "dedup_full_row",
+    "distinct_rows",
     "fill_from_fallback",
     "find_hot",
     "group_fallback",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cuebreaks.functions.measures import one_more_multiplier, spec_multiplier
 from cuebreaks.functions.text import normalize_asset_id
 from cuebreaks.operators.skew import HOT_ROWS, HotKeys, find_hot, join_on
+from cuebreaks.operators.versions import distinct_rows
 
 METADATA_MATCHES = ("exact", "normalized")
 TITLE_KEY = "_title_key"
@@ -59,7 +60,8 @@ def metadata_join(
 
     ``exact`` only lower-cases the metadata id; ``normalized`` also strips its format
     suffixes, which finds more titles and may find several per asset. Without ``hot``
-    adaptive execution splits a hot asset, unless the result is grouped by the asset as it is.
+    adaptive execution splits a hot asset, unless the result is grouped by the asset as it is; ``distinct_rows``
+    removes duplicates of it without that.
     """
     titles = title_lookup(metadata, content_id, columns, match)
     return join_on(df, titles, [(asset_id, TITLE_KEY)], hot=find_hot(df, [asset_id], hot))
@@ -97,15 +99,13 @@ def next_position_lookup(
 
 def terminal_quotients(df: DataFrame, key: str, position: str, length: str, spec: str):
     """Multipliers by (key, position), ready to be looked up by the cue count."""
-    return (
+    return distinct_rows(
         df.select(
             key,
             position,
             spec_multiplier(spec, length).alias("Mutiplier"),
             one_more_multiplier(length).alias("Multiplier_just_one_more"),
-        )
-        .dropna(subset=[key, position])
-        .distinct()
+        ).dropna(subset=[key, position])
     )
 
 

@@ -27,6 +27,17 @@ def dedup_full_row(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """One row of each group of identical rows, dealt by the whole row.
+
+    For the result of a join: a plain ``distinct()`` keeps to the join's partitioning by its key, so one task
+    would get all rows of a hot key, and adaptive execution could not split the join. Whole rows need an exchange
+    of their own; copies are combined before it.
+    """
+    whole = df.select(F.struct(*df.columns).alias("_row")).distinct()
+    return whole.select([F.col(f"_row.{c}").alias(c) for c in df.columns])
+
+
 def prune_then_dedup(df: DataFrame, drop: Sequence[str]) -> DataFrame:
     """Drop columns, then remove the rows that no longer differ."""
     return df.drop(*drop).distinct()

@@ -15,7 +15,7 @@ from cuebreaks import operators as ops
 from cuebreaks.catalog import QUERIES
 from cuebreaks.plans.cue_summary import current_cues
 from cuebreaks.sources import Stage
-from cuebreaks.sources.derived import cue_inputs
+from cuebreaks.sources.derived import CueInputs, cue_inputs
 from helpers import SMALL
 
 
@@ -125,6 +125,46 @@ def test_search_for_terminal_rows_splits_a_hot_asset(spark, shuffled_joins, monk
     assert "skew=true" in finals["terminal-cues"]
 
 
+@pytest.mark.parametrize("name", ["ad_spec", "ad_grade", "terminal_position_lookup", "group_fallback_fill"])
+def test_duplicate_removal_after_the_metadata_join_splits_a_hot_asset(spark, shuffled_joins, monkeypatch, name):
+    n = F.col("id")
+    cues = spark.range(0, 120_000, 1, 8).select(
+        F.lit("Show").alias("seriesTitle"),
+        F.when(n % 2 == 0, "AST_HDSDR").otherwise(F.concat(F.lit("x"), n)).alias("assetExternalID"),
+        F.concat(F.lit("Title "), n).alias("assetName"),
+        n.cast("double").alias("assetDuration"),
+        (n % 9).alias("cuePointLength"),
+        n.alias("cuePointPosition"),
+        n.cast("double").alias("contentTimePosition"),
+        (n % 1000).alias("seasonNumber"),
+        n.alias("episodeNumber"),
+        F.lit("9999-12-31 23:59:59").cast("timestamp_ntz").alias("effectiveTo"),
+    )
+    titles = spark.range(0, 4000).select(
+        F.when(F.col("id") == 0, "ast").otherwise(F.concat(F.lit("x"), "id")).alias("ContentID"),
+        *[F.lit("Drama").alias(c) for c in ("Primary_Genre", "Secondary_Genre", "ProductType")],
+    )
+    catalog = importlib.import_module("cuebreaks.catalog")
+    monkeypatch.setattr(catalog, "cue_inputs", lambda spark, sf_dir: CueInputs(cues, None, titles))
+    finals = []
+
+    def recorded(df):
+        df.collect()
+        finals.append(df._jdf.queryExecution().executedPlan().toString())
+
+    monkeypatch.setattr(catalog, "_staged", lambda df, name: recorded(df) or Stage(spark).write(df, name))
+    result = catalog.QUERIES[name](spark, "")
+    recorded(result)
+    assert "skew=true" in finals[0]
+
+
+def test_whole_rows_are_told_apart(spark):
+    rows = [(1, None, "a"), (1, None, "a"), (None, None, None), (None, None, None), (1, 2.0, "a"), (1, None, "b")]
+    frame = spark.createDataFrame(rows, "k long, `odd name` double, s string")
+    found = ops.distinct_rows(frame)
+    assert found.schema == frame.schema and sorted(map(repr, found.collect())) == sorted(map(repr, frame.distinct().collect()))
+
+
 def scans(spark, build, raw):
     """How many of the written relations, and the result, read each staged relation but the raw input."""
     read = Counter()
