@@ -8,9 +8,12 @@
    with it from the next rarest on: a posting stays while the word at the term's offset is that term. What is left
    are exact phrases. Postings that have all the terms close by, in any order, are proximity matches.
 
+Texts are read once: their words are written in pieces of ``PIECE_WORDS``, each with the words that a window can reach
+beyond it, and all later steps read the pieces. So a posting is cut out of a piece, whatever the length of its text.
+
 Words are counted in the documents' own spelling and folded afterwards, so whole texts need no folding.
-Lists of benchmark terms are counted; up to ``BROADCAST_TERMS`` words they are broadcast, so no word of a document
-moves, beyond that documents' words are counted before they move, or move with their surroundings cut out.
+Lists of benchmark terms are counted; up to ``BROADCAST_TERMS`` words of ``BROADCAST_BYTES`` they are broadcast, so no word
+of a document moves, beyond that documents' words are counted before they move, or move with their surroundings cut out.
 
 Defined cases: NULL text and NULL items have no words; a NULL ``item_id`` is a value like others, left out of the
 list of items; equal items each count; rows alike get equal results.
@@ -26,6 +29,8 @@ from cuebreaks.sources.staging import Stage
 
 WINDOW = 10
 BROADCAST_TERMS = 500_000
+BROADCAST_BYTES = 32 << 20
+PIECE_WORDS = 1024
 
 _BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -50,12 +55,45 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     ).distinct()
 
 
-def _spelled(docs: DataFrame, terms: DataFrame) -> DataFrame:
+def _pieces(docs: DataFrame, reach: int) -> DataFrame:
+    """The words of each text in pieces: ``doc_id, text_hash, n_words, begin, before, own, part``.
+
+    ``own`` words from ``begin`` on are the piece's own; ``part`` has ``before`` more in front and up to ``reach`` behind. A
+    text without words is one empty piece.
+    """
+    listed = docs.select("doc_id", row_hash().alias("text_hash"), words(F.col("text")).alias("w"))
+    last = F.greatest(F.size("w") - 1, F.lit(0))
+    begins = F.sequence(F.lit(0), last, F.lit(PIECE_WORDS))
+
+    def piece(begin: Column) -> Column:
+        before = F.least(begin, F.lit(reach))
+        return F.struct(
+            begin.alias("begin"),
+            before.alias("before"),
+            F.least(F.size("w") - begin, F.lit(PIECE_WORDS)).alias("own"),
+            F.slice("w", begin - before + 1, before + PIECE_WORDS + reach).alias("part"),
+        )
+
+    cut = listed.select("doc_id", "text_hash", F.size("w").alias("n_words"), F.explode(F.transform(begins, piece)).alias("p"))
+    return cut.select("doc_id", "text_hash", "n_words", "p.begin", "p.before", "p.own", "p.part")
+
+
+def _own_words() -> Column:
+    return F.slice("part", F.col("before") + 1, F.col("own"))
+
+
+def _fits(terms: DataFrame, name: str) -> bool:
+    """Whether a list of terms is proven small enough to be broadcast."""
+    n, size = terms.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(name)), F.lit(0))).first()
+    return n <= BROADCAST_TERMS and size <= BROADCAST_BYTES
+
+
+def _spelled(pieces: DataFrame, terms: DataFrame) -> DataFrame:
     """``spelling, term, n``: how documents spell the given terms, and how often."""
-    used = docs.select(F.explode(words(F.col("text"))).alias("spelling"))
+    used = pieces.select(F.explode(_own_words()).alias("spelling"))
     # lower() folds at least what fold() does, so no spelling of a term is lost here.
     near = terms.select(F.lower("term").alias("low")).distinct()
-    if terms.count() <= BROADCAST_TERMS:
+    if _fits(terms, "term"):
         used = used.join(F.broadcast(near), F.lower("spelling") == F.col("low"), "left_semi")
     counts = used.groupBy("spelling").agg(F.count("*").alias("n")).withColumn("term", fold(F.col("spelling")))
     return counts.join(terms, "term", "left_semi")
@@ -69,11 +107,15 @@ def phrase_hits(
     ``start`` counts words from 0. Rows that are not ``exact`` are proximity matches, at the entry term.
     """
     stage = stage or Stage(docs.sparkSession)
+    return _hits(stage.write(_pieces(docs, window - 1), "pieces"), benchmark, window, stage)
+
+
+def _hits(pieces: DataFrame, benchmark: DataFrame, window: int, stage: Stage) -> DataFrame:
     windows = stage.write(
         item_windows(benchmark, window).withColumn("window_id", F.monotonically_increasing_id()), "windows"
     )
     terms = stage.write(windows.select(F.explode("terms").alias("term")).distinct(), "terms")
-    spelled = stage.write(_spelled(docs, terms), "spelled")
+    spelled = stage.write(_spelled(pieces, terms), "spelled")
     counts = spelled.groupBy("term").agg(F.sum("n").alias("n"))
 
     offsets = windows.select("window_id", F.posexplode("terms").alias("at", "term"))
@@ -102,13 +144,16 @@ def phrase_hits(
     )
 
     reach = window - 1
-    listed = docs.select("doc_id", row_hash().alias("text_hash"), words(F.col("text")).alias("w"))
-    placed = listed.select("doc_id", "text_hash", "w", F.posexplode("w").alias("pos", "spelling"))
-    around = F.slice("w", F.greatest(F.col("pos") - reach, F.lit(0)) + 1, 2 * reach + 1)
-    if spellings.count() <= BROADCAST_TERMS:
-        found = placed.join(F.broadcast(spellings), "spelling").withColumn("around", around)
+    placed = pieces.select(
+        "doc_id", "text_hash", "begin", "before", "part", F.posexplode(_own_words()).alias("at", "spelling")
+    )
+    place = F.col("before") + F.col("at")  # in the part
+    first = F.greatest(place - reach, F.lit(0))
+    cut = {"pos": F.col("begin") + F.col("at"), "around": F.slice("part", first + 1, 2 * reach + 1)}
+    if _fits(spellings, "spelling"):
+        found = placed.join(F.broadcast(spellings), "spelling").withColumns(cut)
     else:
-        found = placed.withColumn("around", around).drop("w").join(spellings, "spelling")
+        found = placed.withColumns(cut).drop("part").join(spellings, "spelling")
     postings = found.select(
         "doc_id",
         "text_hash",
@@ -139,7 +184,8 @@ def contamination(
 ) -> DataFrame:
     """One row per document: ``doc_id, text_hash, n_words, n_hit, n_items, items, contaminated, n_near_items``."""
     stage = stage or Stage(docs.sparkSession)
-    hits = stage.write(phrase_hits(docs, benchmark, window, stage), "hits")
+    pieces = stage.write(_pieces(docs, window - 1), "pieces")
+    hits = stage.write(_hits(pieces, benchmark, window, stage), "hits")
     key = ["doc_id", "text_hash"]
     exact = hits.filter("exact")
     last = F.col("start") + F.col("length") - 1
@@ -158,7 +204,7 @@ def contamination(
         ).drop("hit_id", "hit_hash").withColumnsRenamed(renamed),
         "found",
     )
-    listed = docs.select("doc_id", row_hash().alias("text_hash"), F.size(words(F.col("text"))).alias("n_words"))
+    listed = pieces.filter("begin = 0").select("doc_id", "text_hash", "n_words")  # one per row of docs
     zero = F.lit(0).cast("long")
     return listed.join(found, on, "left").select(
         *key,

@@ -1,4 +1,7 @@
+import os
 import re
+import subprocess
+import sys
 
 import pytest
 from llm_helpers import docs, tuples
@@ -64,6 +67,45 @@ def test_odd_documents(spark, monkeypatch, broadcast):
     assert of(decontam.contamination(docs(spark, DOCS), benchmark(spark))) == plain(DOCS, BENCH)
 
 
+def test_long_lists_of_terms_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", 10)
+    assert of(decontam.contamination(docs(spark, DOCS), benchmark(spark))) == plain(DOCS, BENCH)
+
+
+@pytest.mark.parametrize("piece, window", [(1, 10), (4, 2), (12, 1)])
+def test_pieces_lose_no_window(spark, monkeypatch, piece, window):
+    monkeypatch.setattr(decontam, "PIECE_WORDS", piece)
+    rows = [r for r in DOCS if r[0] != 9] + [(11, "q " * 5 + ALPHA + " " + ALPHA + " the the"), (12, " ".join("ab" * 30))]
+    bench = BENCH + [(20, "a b a b a b a b a b a")]
+    assert of(decontam.contamination(docs(spark, rows), benchmark(spark, bench), window)) == plain(rows, bench, window)
+
+
+LONG = """
+import resource, time
+from pyspark.sql import SparkSession, functions as F
+from cuebreaks.llm import decontam
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.driver.memory", "1g")
+    .config("spark.sql.shuffle.partitions", "2").getOrCreate())
+bench = spark.createDataFrame([(1, "zeta b")], "item_id long, text string")
+def seconds(n):
+    docs = spark.range(1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("zeta a a zeta b a a zeta a a "), n // 10).alias("text"))
+    begin = time.time()
+    found = [(r.n_words, r.n_hit, r.n_items) for r in decontam.contamination(docs, bench).collect()]
+    assert found == [(n, n // 5, 1)], found
+    return time.time() - begin
+seconds(1000)
+short, long = seconds(250_000), seconds(1_000_000)
+print("took", short, long, "linear", long < 8 * short + 5)
+"""
+
+
+def test_a_million_words_in_a_small_heap(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = {**os.environ, "PYTHONPATH": root}
+    done = subprocess.run([sys.executable, "-c", LONG], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=400)
+    assert "linear True" in done.stdout, done.stderr[-2000:]
+
+
 def test_other_window_lengths(spark):
     assert of(decontam.contamination(docs(spark, DOCS), benchmark(spark), window=3)) == plain(DOCS, BENCH, 3)
 
