@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import heapq
 import re
+import sys
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -50,15 +52,21 @@ def _is_latin(text: str) -> bool:
     return True
 
 
+def unsafe_letters() -> str:
+    """Letters that composing and lower-casing turn into something that ends in no letter, as U+09DF or U+0130."""
+    letters = (c for c in map(chr, range(0xC0, sys.maxunicode + 1)) if c.isalpha())
+    return "".join(c for c in letters if not unicodedata.normalize("NFC", c).lower()[-1].isalpha())
+
+
 class Tokens(dict):
     """Ids of pieces of text as little-endian 32-bit numbers, kept up to a bound; of a text when called.
 
     The vocabulary's rules split at white space and between letters and a lone mark, so these borders
-    can be cut first. A piece of plain Latin letters is one word to them: it goes straight to the
+    can be cut first, unless the rules make a combining mark of the letter's end. A piece of plain Latin letters is one word to them: it goes straight to the
     tokenizer's model, in the byte alphabet. All other pieces take the tokenizer's whole way.
     """
 
-    _mark = re.compile(r"[.,;:!?](?<=[^\W\d_].)(?=[ \n])")
+    _mark = re.compile(rf"[.,;:!?](?<=[^\W\d_{unsafe_letters()}].)(?=[ \n])")
     _letters = re.compile("[a-zà-öø-ÿ]+").fullmatch
 
     def __init__(self, path: str):

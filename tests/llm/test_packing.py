@@ -21,6 +21,7 @@ ODD = [
     "", " ", "a", "<|ENDOFTEXT|> <|EndOfText|>x", "J\u030c H\u0331x E\u0301 I\u0307", "Œuvre ÀÉÎ µ",
     "it's  'S. x's", "<|endoftext|>a <|startoftext|>", "été İzmir ΟΣ Σ.",
     "q\x1c\x1dw  x y", "don't...  stop!? ok,", "K ẞ ß", "中文 \U0001f600\n\n\tz", "Êté, œuvre; ñ: a1b2",
+    "\u09df, \u0958. \ufb2a, İ, a",
 ]
 
 
@@ -31,6 +32,22 @@ def test_ids_are_the_tokenizers(tokenizer):
         assert np.frombuffer(tokens(text), "<u4").tolist() == expected, text
 
 
+def test_ids_of_scripts_that_decompose(tokenizer):
+    """Letters that composing or lower-casing takes apart, between marks and blanks."""
+    rng, tokens = random.Random(21), packing.Tokens(word_tokenizer())
+    ranges = [(0x958, 0x960), (0x9DC, 0x9E0), (0xFB1D, 0xFB4F), (0xA33, 0xA37), (0xF43, 0xF70), (0x1E96, 0x1E9C), (0x1F80, 0x1FB5)]
+    odd = [chr(c) for a, b in ranges for c in range(a, b)] + list("İΣςßŉǰΐµſ") + ["\u0307", "\u0301", "\u09bc", "\u05b7", "\u093c"]
+    seen = sorted({chr(rng.randrange(0xC0, 0x30000)) for _ in range(9000)} | {chr(rng.randrange(0xC0, 0x3000)) for _ in range(6000)})
+    marks = list(".,;:!?") + [". ", ", ", "! ", ": ", " ", "\n", ".\n", "-"]
+    texts = []
+    for _ in range(50_000):
+        letter = lambda: rng.choice(odd if rng.random() < 0.6 else seen if rng.random() < 0.5 else "aeioxÉé")
+        texts.append("".join(letter() if rng.random() < 0.6 else rng.choice(marks) for _ in range(rng.randrange(1, 9))))
+    texts = [t for t in texts if not any("\ud800" <= c <= "\udfff" for c in t)]
+    for text, own in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(tokens(text), "<u4").tolist() == own.ids, ascii(text)
+
+
 def test_table_of_pieces_stays_bounded(monkeypatch, tokenizer):
     monkeypatch.setattr(packing, "PIECES_KEPT", 20)
     tokens = packing.Tokens(word_tokenizer())
