@@ -268,17 +268,17 @@ told AS (
 ),
 base_line AS (
   SELECT doc_id, string_agg(concat_ws(':', name, start, stop), ',' ORDER BY number, start) AS line,
-    count(*) FILTER (WHERE name = 'email') AS n_email, count(*) FILTER (WHERE name = 'ip') AS n_ip,
+    count(*) AS n_base, count(*) FILTER (WHERE name = 'email') AS n_email, count(*) FILTER (WHERE name = 'ip') AS n_ip,
     count(*) FILTER (WHERE name = 'card') AS n_card, count(*) FILTER (WHERE name = 'phone') AS n_phone
   FROM base GROUP BY doc_id
 ),
 term_line AS (
-  SELECT doc_id, string_agg(concat_ws(':', 'term', start, stop), ',' ORDER BY start) AS terms
+  SELECT doc_id, string_agg(concat_ws(':', 'term', start, stop), ',' ORDER BY start) AS terms, count(*) AS n_terms
   FROM told GROUP BY doc_id
 )
 SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
   coalesce(n_phone, 0) AS n_phone, sha256(coalesce(line, '')) AS base_sha256,
-  concat_ws(',', line, terms) AS spans
+  concat_ws(',', line, terms) AS spans, coalesce(n_base, 0) + coalesce(n_terms, 0) AS n_spans
 FROM documents LEFT JOIN base_line USING (doc_id) LEFT JOIN term_line USING (doc_id)
 """
 

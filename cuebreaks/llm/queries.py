@@ -159,6 +159,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *map(count, pii.KINDS),
         F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
         F.array_join(F.concat(base, terms), ",").alias("spans"),
+        (F.size("base") + F.size("terms")).cast("long").alias("n_spans"),
     )
 
 

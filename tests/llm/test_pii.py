@@ -1,8 +1,10 @@
 import re
+import time
 
 import duckdb
 import pytest
 from llm_helpers import SF, docs, sample_texts, write_tables
+from pyspark.sql import functions as F
 
 from cuebreaks.llm import pii
 from cuebreaks.llm.oracle import ORACLE_SQL
@@ -51,6 +53,26 @@ def test_odd_texts_against_plain_patterns(spark):
     assert got == sorted(((i, plain(t)) for i, t in rows), key=repr)
 
 
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 4096, 4097, 9000])
+def test_running_sums(spark, monkeypatch, n):
+    numbers = [(k * 7919) % 13 for k in range(n)]
+    row = spark.createDataFrame([(numbers,)], "sizes array<int>").select(pii.running_sums(F.col("sizes")).alias("sums"))
+    assert row.first().sums == [sum(numbers[:k]) for k in range(n)] if n < 100 else row.first().sums[-1] == sum(numbers[:-1])
+
+
+def test_many_matches_in_one_text_take_linear_time(spark):
+    def seconds(n):
+        text = " ".join(f"a{k}@b.cc" for k in range(n))
+        begin = time.time()
+        row = docs(spark, [(1, text)]).select(pii.found_spans(F.col("text"), pii.PATTERNS["email"]).alias("s")).first()
+        took = time.time() - begin
+        assert len(row.s) == n and text[row.s[-1].start : row.s[-1].end] == f"a{n - 1}@b.cc"
+        return took
+
+    seconds(100)
+    assert seconds(160_000) < 12 * seconds(20_000) + 5
+
+
 def test_query_against_plain_patterns(spark):
     texts = dict(sample_texts())
     for r in QUERIES["op9_pii"](spark, SF).collect():
