@@ -7,7 +7,7 @@ from llm_helpers import docs
 from cuebreaks.llm import toxicity as tox
 from cuebreaks.llm.queries import QUERIES
 
-BIG = "/root/testdata/check_s"
+BIG = "/root/testdata/sf0.1"
 INSULTS = {"idiot": 5.0, "scumb*": 4.0}
 
 
@@ -111,10 +111,24 @@ def test_nothing_to_learn_from_and_empty_table(spark):
 
 
 def test_held_out_accuracy(spark):
-    truth = dict(duckdb.sql(f"SELECT doc_id, toxic FROM read_parquet('{BIG}/labels.parquet/*')").fetchall())
+    """On sf0.1: recall and precision of held-out labels, and clean documents of each language left alone.
+
+    Recall is not asked by language: with a dozen or two toxic rows of one to learn from, its insults are not told from chance.
+    """
+    tables = {name: f"read_parquet('{BIG}/{name}.parquet')" for name in ("labels", "documents")}
+    truth = {i: (t, lang) for i, t, lang in duckdb.sql(
+        f"SELECT doc_id, toxic, lang FROM {tables['labels']} AS l JOIN {tables['documents']} AS d USING (doc_id)"
+    ).fetchall()}
     rows = QUERIES["op2_toxicity"](spark, BIG).filter("held_out").select("doc_id", "predicted", "score").collect()
     assert all(zlib.crc32(str(r.doc_id).encode()) % 3 == 1 and 0 <= r.score <= 1 for r in rows)
-    judged = [(truth[r.doc_id], r.predicted) for r in rows if r.doc_id in truth]
+    by_lang = {}
+    for r in rows:
+        if r.doc_id in truth:
+            toxic, lang = truth[r.doc_id]
+            by_lang.setdefault(lang, []).append((toxic, r.predicted))
+    judged = [pair for pairs in by_lang.values() for pair in pairs]
     hits = sum(t and p for t, p in judged)
-    assert hits >= 0.97 * sum(t for t, _ in judged)
-    assert hits >= 0.97 * sum(p for _, p in judged)
+    assert hits >= 0.8 * sum(t for t, _ in judged)
+    assert hits >= 0.9 * sum(p for _, p in judged)
+    for pairs in by_lang.values():
+        assert sum(p and not t for t, p in pairs) <= 0.02 * sum(not t for t, _ in pairs) + 1
