@@ -43,6 +43,7 @@ PARTS = 5
 GROUP_ROWS = 8192
 TILE = 1024
 SMALL = 96
+SHOWN = 24
 OCCURRENCES, DOCUMENTS = 1 << 20, 1 << 14
 WORDS_KEPT = 500_000
 
@@ -107,7 +108,7 @@ class Tally:
         self.pending = 0
 
     def add(self, doc_id: int | None, text: str) -> None:
-        found = np.array(list(map(self.words.__getitem__, _RUNS.findall(text))), "int64")
+        found = np.fromiter(map(self.words.__getitem__, _RUNS.findall(text)), "int32")
         self.prefixes.append(zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode()))
         self.docs.append(len(found))
         self.seen.append(found)
@@ -227,6 +228,15 @@ def one_edit(a: str, b: str) -> bool:
     return len(b) == len(a) + 1 and a[at:] == b[at + 1 :]
 
 
+def _can_be_near(a: np.ndarray, b: np.ndarray, a_size: np.ndarray, b_size: np.ndarray) -> np.ndarray:
+    """Whether the beginnings of words leave one edit possible; ``a`` has the shorter ones, a line each."""
+    replaced = (a != b).sum(axis=1) <= 1
+    place = np.arange(SHOWN - 1)
+    first = np.argmin(np.c_[a == b, np.zeros(len(a), bool)], axis=1)[:, None]
+    shifted = (a[:, :-1] == b[:, 1:]) | (place < first) | (place >= a_size[:, None])
+    return np.where(a_size == b_size, replaced, shifted.all(axis=1))
+
+
 class Blocks:
     """Near pairs within groups of words, by products of letter-count matrices."""
 
@@ -258,6 +268,7 @@ class Blocks:
         """Places of near words, the shorter one first. Rows of one ``group`` are compared, sides 1 and 2 only with each other."""
         size = np.array([len(w) for w in words])
         order = np.lexsort((size, group)) if len(words) > TILE else np.arange(len(words))
+        shown = np.array([w[:SHOWN].encode("latin-1") for w in words], f"S{SHOWN}").view("uint8").reshape(-1, SHOWN)
         for a in range(0, len(words), TILE):
             left = order[a : a + TILE]
             lines = self.counts([words[k] for k in left])
@@ -275,11 +286,13 @@ class Blocks:
                 if b == a:
                     kept &= i < j
                 i, j, x, y = i[kept], j[kept], x[kept], y[kept]
+                swapped = size[x] > size[y]
+                x, y = np.where(swapped, y, x), np.where(swapped, x, y)
+                close = _can_be_near(shown[x], shown[y], size[x], size[y])
+                i, j, x, y = i[close], j[close], x[close], y[close]
                 differs = np.abs(lines[i] - others[j]) @ self.part > 0
                 own = self.owner[differs @ (1 << np.arange(PARTS))] == choice[x]
                 for p, q in zip(x[own].tolist(), y[own].tolist()):
-                    if len(words[p]) > len(words[q]):
-                        p, q = q, p
                     if one_edit(words[p], words[q]):
                         yield p, q
 
