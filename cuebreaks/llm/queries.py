@@ -193,10 +193,8 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_registered
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = piece_model()
-    ids = sentencepiece_bpe.encode(table(spark, sf_dir, "documents"), model, ["doc_id"])
-    texts = sentencepiece_bpe.decode(ids, model)
-    return texts.select(
+    docs = table(spark, sf_dir, "documents")
+    return sentencepiece_bpe.encode(docs, piece_model(), ["doc_id"], back="decoded").select(
         "doc_id",
         F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

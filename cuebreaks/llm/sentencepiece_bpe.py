@@ -34,9 +34,10 @@ from pyspark.sql import functions as F
 from cuebreaks.llm.inputs import fresh, ship_package
 
 BLANK = "▁"
-PARTS_KEPT = 400_000
+PARTS_KEPT = 300_000
 PART_CHARS = 64
-PAIRS_KEPT = 1_000_000
+PAIRS_KEPT = 300_000
+SLICE_ROWS = 256
 
 # Each byte that is no part of a character gives one replacement character.
 codecs.register_error("cuebreaks-each-byte", lambda e: ("�" * (e.end - e.start), e.end))
@@ -65,7 +66,8 @@ class Vocabulary(dict):
 
         self.automaton = ahocorasick.Automaton()
         for piece in self.pieces:
-            self.automaton.add_word(piece, piece)
+            if len(piece) > 1:
+                self.automaton.add_word(piece, (len(piece) - 1, piece))
         self.automaton.make_automaton()
         self.parts = re.compile(self._part_pattern()).findall
         self.strange = re.compile(f"([^{re.escape(''.join(self.single))}])").split
@@ -137,25 +139,30 @@ class Vocabulary(dict):
 
     def search(self, text: str) -> list[str]:
         """The pieces of a text whose characters all have one."""
-        longest: list[str | None] = [None] * len(text)
-        for last, piece in self.automaton.iter(text):
-            longest[last - len(piece) + 1] = piece  # ends come in rising order
-        failed = bytearray(len(text) // 8 + 1)
+        longest = list(text)
+        for last, (before, piece) in self.automaton.iter(text):
+            longest[last - before] = piece  # ends come in rising order
+        size = len(longest)
+        failed = bytearray(size // 8 + 1)
         taken: list[str] = []
-        at, piece = 0, longest[0]
+        at, piece, before = 0, longest[0], ""
+        known = self.pairs.get
         while True:
             stop = at + len(piece)
-            if not failed[stop >> 3] >> (stop & 7) & 1 and self.compatible(taken[-1] if taken else "", piece):
-                taken.append(piece)
-                if stop == len(text):
-                    return taken
-                at, piece = stop, longest[stop]
-                continue
+            if not failed[stop >> 3] >> (stop & 7) & 1:
+                fits = known((before, piece))
+                if self.compatible(before, piece) if fits is None else fits:
+                    taken.append(piece)
+                    if stop == size:
+                        return taken
+                    at, before, piece = stop, piece, longest[stop]
+                    continue
             piece = self.next_shorter(piece)
             while piece is None:  # nothing fits here
                 failed[at >> 3] |= 1 << (at & 7)
                 back = taken.pop()
                 at -= len(back)
+                before = taken[-1] if taken else ""
                 piece = self.next_shorter(back)
 
     def part(self, text: str) -> bytes:
@@ -203,19 +210,37 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def encode(docs: DataFrame, model: str, keep: list[str] | None = None, name: str = "ids") -> DataFrame:
-    """The columns ``keep`` (all by default) of every row and the ids of its text: binary, little-endian, 32 bits each."""
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, so that no more is held than these give."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(start, SLICE_ROWS)
+
+
+def encode(
+    docs: DataFrame, model: str, keep: list[str] | None = None, name: str = "ids", back: str | None = None
+) -> DataFrame:
+    """The columns ``keep`` (all by default) of every row and the ids of its text: binary, little-endian, 32 bits each.
+
+    With ``back``, a column of that name has the text that the ids decode to.
+    """
     ship_package(docs.sparkSession)
     keep = docs.columns if keep is None else keep
     name = fresh(keep, name)
-    schema = docs.select(*keep, F.lit(b"").alias(name)).schema
+    added = [F.lit(b"").alias(name)]
+    if back:
+        added.append(F.lit("").alias(fresh([*keep, name], back)))
+    schema = docs.select(*keep, *added).schema
     source = docs.select(*keep, F.col("text").cast("string").alias(fresh(keep, "body")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(model)
-        for batch in batches:
-            ids = pa.array([words.encode(t.as_py() or "") for t in batch.column(len(keep))], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], ids], schema.names)
+        for batch in _slices(batches):
+            ids = [words.encode(t.as_py() or "") for t in batch.column(len(keep))]
+            found = [pa.array(ids, pa.binary())]
+            if back:
+                found.append(pa.array([words.decode(np.frombuffer(i, "<u4")) for i in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *found], schema.names)
 
     return source.mapInArrow(run, schema)
 
@@ -228,7 +253,7 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids", name: str = "decode
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(model)
-        for batch in batches:
+        for batch in _slices(batches):
             texts = [words.decode(np.frombuffer(i.as_py() or b"", "<u4")) for i in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema.names)
 
