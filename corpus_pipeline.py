@@ -2,6 +2,10 @@
 
 Toxic documents, copies, near copies and contaminated documents go; what is left is packed. All stages but the last
 return whole rows with the columns they were given.
+
+Defined cases: a NULL text counts as empty, is neither toxic nor contaminated, and is a copy of other empty ones; of copies and of near
+copies the row of the smallest ``doc_id`` stays (a NULL one is the smallest among exact copies, the largest among near ones), and of
+rows alike in id and text one; texts are taken whole, however long; further columns are kept up to the last stage, which gives pieces; an empty table gives no piece.
 """
 
 from __future__ import annotations
