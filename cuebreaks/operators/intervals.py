@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cuebreaks.operators.skew import HOT_ROWS, HotKeys, find_hot
+from cuebreaks.operators.skew import HOT_BYTES, HOT_ROWS, HotKeys, find_hot
 from cuebreaks.sources.staging import Stage
 
 PIECE = "_piece"
@@ -49,14 +49,19 @@ def _in_pieces(
     return stage.write(ranged.drop("_part").withColumn(PIECE, F.spark_partition_id()), "pieces")
 
 
-def _join_carry(df: DataFrame, carry: DataFrame, partition: Sequence[str]) -> DataFrame:
-    """Attach per-piece values; there are at most as many as pieces plus hot groups."""
+def _join_carry(
+    df: DataFrame, carry: DataFrame, partition: Sequence[str], stage: Stage
+) -> DataFrame:
+    """Attach per-piece values; there are at most as many as pieces plus hot groups.
+
+    They are written, so that Spark broadcasts them by their measured size or else joins by piece.
+    """
     keys = [*partition, PIECE]
-    carry = carry.withColumnsRenamed({c: f"_carry_{c}" for c in keys})
+    carry = stage.write(carry, "carry").withColumnsRenamed({c: f"_carry_{c}" for c in keys})
     same = F.col(PIECE) == F.col(f"_carry_{PIECE}")
     for c in partition:
         same = same & F.col(c).eqNullSafe(F.col(f"_carry_{c}"))
-    return df.join(F.broadcast(carry), same, "left").drop(*[f"_carry_{c}" for c in keys])
+    return df.join(carry, same, "left").drop(*[f"_carry_{c}" for c in keys])
 
 
 def previous_in_order(
@@ -80,7 +85,8 @@ def previous_in_pieces(
     Each piece of a group takes its lag on its own; the first row of a piece gets the
     last value of the piece before it.
     """
-    split = _in_pieces(df, partition, order, pieces, stage or Stage(df.sparkSession))
+    stage = stage or Stage(df.sparkSession)
+    split = _in_pieces(df, partition, order, pieces, stage)
     last = split.groupBy(*partition, PIECE).agg(
         F.max_by(value, F.struct(*order)).alias("_last")
     )
@@ -90,7 +96,7 @@ def previous_in_pieces(
     ranked = split.withColumn(out, F.lag(value).over(local)).withColumn(
         "_first", F.row_number().over(local) == 1
     )
-    joined = _join_carry(ranked, carry, partition)
+    joined = _join_carry(ranked, carry, partition, stage)
     return joined.withColumn(
         out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col(out))
     ).drop(PIECE, "_first", "_carry")
@@ -104,12 +110,14 @@ def previous_value(
     out: str,
     hot: HotKeys | int | None = HOT_ROWS,
     stage: Stage | None = None,
+    hot_bytes: int = HOT_BYTES,
 ) -> DataFrame:
     """``value`` of the previous row in ``order`` (ascending, NULL first) within ``partition``.
 
-    ``order`` must rank the rows of a group without ties for a repeatable result.
+    ``order`` must rank the rows of a group without ties for a repeatable result. Groups of ``hot`` rows or
+    ``hot_bytes`` bytes, whichever is reached first, are ordered in pieces; others need one shuffle.
     """
-    hot = find_hot(df, partition, hot)
+    hot = find_hot(df, partition, hot, hot_bytes, stage)
     if hot is None:
         return previous_in_order(df, value, partition, order, out)
     ordinary, busy = hot.split(df)
@@ -132,9 +140,10 @@ def break_interval(
     out: str = "Ad_Breaks_Interval",
     hot: HotKeys | int | None = HOT_ROWS,
     stage: Stage | None = None,
+    hot_bytes: int = HOT_BYTES,
 ) -> DataFrame:
     """Attach the previous break's time and the gap since then."""
-    lagged = previous_value(df, time, partition, order, previous, hot, stage)
+    lagged = previous_value(df, time, partition, order, previous, hot, stage, hot_bytes)
     return lagged.withColumn(out, interval_since(time, previous))
 
 
@@ -146,9 +155,10 @@ def numbered_in_order(
     length: str,
     hot: HotKeys | int | None = HOT_ROWS,
     stage: Stage | None = None,
+    hot_bytes: int = HOT_BYTES,
 ) -> DataFrame:
     """Position 1..n of each row in its group, and the group's size n, both bigint."""
-    hot = find_hot(df, partition, hot)
+    hot = find_hot(df, partition, hot, hot_bytes, stage)
     ordinary, busy = (df, None) if hot is None else hot.split(df)
     numbered = ordinary.withColumns(
         {
@@ -158,7 +168,8 @@ def numbered_in_order(
     )
     if busy is None:
         return numbered
-    split = _in_pieces(busy, partition, order, hot.total_pieces, stage or Stage(df.sparkSession))
+    stage = stage or Stage(df.sparkSession)
+    split = _in_pieces(busy, partition, order, hot.total_pieces, stage)
     whole = Window.partitionBy(*partition)
     so_far = whole.orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
@@ -169,6 +180,6 @@ def numbered_in_order(
         .drop("_n")
     )
     local = F.row_number().over(_window([*partition, PIECE], order)).cast("bigint")
-    joined = _join_carry(split.withColumn(position, local), carry, partition)
+    joined = _join_carry(split.withColumn(position, local), carry, partition, stage)
     renumbered = joined.withColumn(position, F.col(position) + F.col("_carry"))
     return numbered.unionByName(renumbered.drop(PIECE, "_carry"))

@@ -1,8 +1,8 @@
 """Hot keys: find them with one pre-aggregated count, then spread their rows.
 
-A key is hot when it holds at least ``hot_rows`` rows, so there are at most rows / ``hot_rows`` hot
-keys: that bounds the list that gets broadcast (500,000 keys for 10^12 rows), and no key above the
-threshold is left out.
+A key is hot when it holds at least ``hot_rows`` rows or, where groups are ordered, ``hot_bytes`` bytes. No key
+above that is left out. Up to ``LISTED`` keys are brought to the driver and broadcast; a longer list, as it may grow
+with the data, is written to the shared folder and joined as Spark sees fit.
 """
 
 from __future__ import annotations
@@ -10,11 +10,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cuebreaks.sources.staging import Stage
+
 HOT_ROWS = 2_000_000
+HOT_BYTES = 256 << 20
+LISTED = 50_000
 
 PIECES = "_pieces"
 SALT = "_salt"
@@ -27,13 +32,15 @@ class HotKeys:
     columns: tuple[str, ...]
     keys: DataFrame
     total_pieces: int
+    listed: bool = True
 
     def mark(self, df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         """``df`` plus ``_pieces`` (and any extra hot-key column), NULL on rows of other keys."""
         columns = list(columns or self.columns)
         renamed = self.keys.withColumnsRenamed({c: f"_hot_{c}" for c in self.columns})
         same = [F.col(c).eqNullSafe(F.col(f"_hot_{h}")) for c, h in zip(columns, self.columns)]
-        marked = df.join(F.broadcast(renamed), reduce(Column.__and__, same), "left")
+        renamed = F.broadcast(renamed) if self.listed else renamed  # LISTED rows at most
+        marked = df.join(renamed, reduce(Column.__and__, same), "left")
         return marked.drop(*[f"_hot_{c}" for c in self.columns])
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -45,37 +52,60 @@ class HotKeys:
         )
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes that a row takes in a shuffle: eight per column and the lengths of what varies."""
+
+    def varying(name: str, kind: str) -> Column:
+        value = F.col(name) if kind in ("string", "binary") else F.col(name).cast("string")
+        return F.coalesce(F.octet_length(value), F.lit(0)).cast("long")
+
+    wide = ("string", "binary", "array", "map", "struct", "variant")
+    lengths = [varying(c, kind) for c, kind in df.dtypes if kind.startswith(wide)]
+    return reduce(add, lengths, F.lit(8 * len(df.columns)).cast("long"))
+
+
 def hot_keys(
     df: DataFrame,
     columns: Sequence[str],
     hot_rows: int = HOT_ROWS,
     weight: str | None = None,
-    extra: dict[str, Column] | None = None,
+    hot_bytes: int | None = None,
+    stage: Stage | None = None,
 ) -> HotKeys | None:
-    """Keys with at least ``hot_rows`` rows (or summed ``weight``); None when there are none.
+    """Keys with at least ``hot_rows`` rows (or summed ``weight``) or ``hot_bytes`` bytes; None when there are none.
 
-    ``extra`` are further aggregates to keep per hot key. Runs one job that counts with
-    map-side partial aggregation and brings the hot keys alone to the driver.
+    A key gets as many pieces as keep each below both. Runs one job that counts with map-side partial
+    aggregation; bytes are measured row by row.
     """
-    rows = F.sum(weight) if weight else F.count(F.lit(1))
-    extra = {name: column.alias(name) for name, column in (extra or {}).items()}
+    copies = F.col(weight) if weight else F.lit(1)
+    pieces = [F.sum(copies) / hot_rows]
+    if hot_bytes:
+        pieces.append(F.sum(row_bytes(df) * copies) / hot_bytes)
     heaviest = (
         df.groupBy(*columns)
-        .agg(rows.alias("_rows"), *extra.values())
-        .filter(F.col("_rows") >= hot_rows)
-        .withColumn(PIECES, F.ceil(F.col("_rows") / hot_rows).cast("int"))
-        .select(*columns, *extra, PIECES)
+        .agg(reduce(F.greatest, pieces).alias("_shares"))
+        .filter("_shares >= 1")
+        .select(*columns, F.ceil("_shares").cast("int").alias(PIECES))
     )
-    found = heaviest.toArrow()
+    found = heaviest.limit(LISTED + 1).toArrow()
     if not found.num_rows:
         return None
+    if found.num_rows > LISTED:
+        keys = (stage or Stage(df.sparkSession)).write(heaviest, "hot-keys")
+        return HotKeys(tuple(columns), keys, keys.agg(F.sum(PIECES)).first()[0], listed=False)
     keys = df.sparkSession.createDataFrame(found, heaviest.schema)
     return HotKeys(tuple(columns), keys, sum(found.column(PIECES).to_pylist()))
 
 
-def find_hot(df: DataFrame, columns: Sequence[str], hot: HotKeys | int | None) -> HotKeys | None:
+def find_hot(
+    df: DataFrame,
+    columns: Sequence[str],
+    hot: HotKeys | int | None,
+    hot_bytes: int | None = None,
+    stage: Stage | None = None,
+) -> HotKeys | None:
     """``hot`` as the operators take it: a row threshold to search with, keys found before, or None."""
-    return hot_keys(df, columns, hot) if isinstance(hot, int) else hot
+    return hot_keys(df, columns, hot, None, hot_bytes, stage) if isinstance(hot, int) else hot
 
 
 def spread(marked: DataFrame) -> DataFrame:

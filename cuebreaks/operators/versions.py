@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuebreaks.operators.skew import HOT_ROWS, PIECES, SALT, hot_keys, spread
+from cuebreaks.operators.skew import join_on
 
 # Fixed value: versions that are still open end in this year.
 OPEN_FROM = "9999-01-01 00:00:00"
@@ -49,26 +49,14 @@ def current_versions(df: DataFrame, valid_to: str, keep: Sequence[str] | None =
     return (current.select(*keep) if keep else current).distinct()
 
 
-def latest_snapshot(
-    df: DataFrame,
-    keys: Sequence[str],
-    snapshot: str,
-    hot_rows: int | None = HOT_ROWS,
-) -> DataFrame:
+def latest_snapshot(df: DataFrame, keys: Sequence[str], snapshot: str) -> DataFrame:
     """All rows tied at the newest ``snapshot`` of their key; NULL keys form a key of their own.
 
-    Ordinary keys go through ``dense_rank() = 1``, which Spark prunes on the map side
-    already. For a hot key the newest snapshot is known from the count: its older rows
-    are dropped before the shuffle and the others, all of rank 1, may be ranked in
-    pieces.
+    A snapshot of NULL is older than any other. The newest snapshot of each key is a maximum, merged before it
+    moves; the rows that have it are then found by a semi join, in which adaptive execution splits a hot
+    key as it does any join's. Nothing is ranked in one task and nothing about keys passes the driver unless
+    Spark finds the maxima small enough to broadcast.
     """
-    newest = {"_newest": F.max(snapshot)}
-    hot = hot_keys(df, keys, hot_rows, extra=newest) if hot_rows else None
-    partition: list[str] = list(keys)
-    if hot is not None:
-        older = F.col(PIECES).isNotNull() & ~F.col(snapshot).eqNullSafe(F.col("_newest"))
-        df = spread(hot.mark(df).filter(~older).drop("_newest"))
-        partition.append(SALT)
-    newest_first: Column = F.col(snapshot).desc_nulls_last()
-    rank = F.dense_rank().over(Window.partitionBy(*partition).orderBy(newest_first))
-    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank", SALT)
+    newest = df.groupBy(*keys).agg(F.max(snapshot).alias("_newest"))
+    on = [*[(k, k) for k in keys], (snapshot, "_newest")]
+    return join_on(df, newest, on, "left_semi", null_safe=True)

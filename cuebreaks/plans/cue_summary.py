@@ -1,8 +1,8 @@
 """The cue-point summary: one row per break and per end of video, graded and with its interval.
 
-The wide relation of cue points is shuffled four times at most: to rank snapshots, to find the
-terminal rows, to receive the title attributes (neither if Spark broadcasts the titles), and to order the
-breaks of an episode. Everything else that the summary needs from joins and groups (metadata, backfill,
+The wide relation of cue points is shuffled five times at most: to meet the newest snapshots (not if Spark broadcasts
+these), to remove duplicates, to find the terminal rows, to receive the title attributes (neither if Spark
+broadcasts the titles), and to order the breaks of an episode. Everything else that the summary needs from joins and groups (metadata, backfill,
 multipliers, longest content) is worked out on relations of titles, which have one row where the cues
 have many.
 """
@@ -19,6 +19,7 @@ from cuebreaks.functions.grading import CUE_WITHOUT_LENGTH
 from cuebreaks.operators import (
     add_terminal_rows,
     attach_fallback,
+    distinct_rows,
     fill_from_fallback,
     group_max,
     hot_keys,
@@ -32,7 +33,7 @@ from cuebreaks.operators import (
     previous_in_pieces,
     terminal_quotients,
 )
-from cuebreaks.operators.skew import HOT_ROWS
+from cuebreaks.operators.skew import HOT_BYTES, HOT_ROWS
 from cuebreaks.sources.schemas import CORRECTIONS, CUES, METADATA, SUMMARY, check_schema
 from cuebreaks.sources.staging import Stage
 from cuebreaks.sources.tables import check_target, read_table, replace_table
@@ -87,14 +88,14 @@ def is_episode() -> Column:
     return (F.col("SeasonNumber") != 0) & (F.col("EpisodeNumber") != 0)
 
 
-def current_cues(cues: DataFrame, corrections: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def current_cues(cues: DataFrame, corrections: DataFrame) -> DataFrame:
     """Distinct cue points of the newest snapshot of each episode, with corrected labels.
 
-    Ranks by the labels as delivered and corrects them afterwards. The duplicate removal
-    follows the ranking, whose partitioning it can use.
+    Looks for it by the labels as delivered and corrects them afterwards. Duplicates are removed by whole
+    rows, so the join before may be split.
     """
     cues = open_records(check_schema(cues, CUES, "cues"), "effectiveTo").drop("effectiveTo")
-    newest = latest_snapshot(cues, RAW_EPISODE, SNAPSHOT, hot_rows).drop(SNAPSHOT).distinct()
+    newest = distinct_rows(latest_snapshot(cues, RAW_EPISODE, SNAPSHOT).drop(SNAPSHOT))
     corrected = label_override(
         newest,
         check_schema(corrections, CORRECTIONS, "corrections"),
@@ -221,7 +222,8 @@ def _with_previous(
     joined = _describe(join_on(cues, attributes, on, "inner", None, True))
     # Written with nothing grouped on top, so adaptive execution may split a hot title.
     described = stage.write(joined, "described")
-    hot = hot_keys(described.withColumn("_rows", F.lit(2)), EPISODE, hot_rows, weight="_rows")
+    twice = described.withColumn("_rows", F.lit(2))
+    hot = hot_keys(twice, EPISODE, hot_rows, "_rows", HOT_BYTES, stage)
 
     def in_order(part: DataFrame) -> DataFrame:
         # One shuffle serves the terminal rows, the duplicate removal and the window.
@@ -282,7 +284,7 @@ def cue_summary(
     """
     stage = stage or Stage(cues.sparkSession)
     metadata = check_schema(metadata, METADATA, "metadata")
-    current = stage.write(current_cues(cues, corrections, hot_rows), "cues")
+    current = stage.write(current_cues(cues, corrections), "cues")
     profile = _profile(current, stage)
     attributes = stage.write(
         title_attributes(current, profile, metadata, metadata_match, stage), "attributes"

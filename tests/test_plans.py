@@ -41,11 +41,21 @@ def test_scan_reads_needed_columns_and_gets_the_filter(inputs):
     assert "createdAt" not in text and "agingDate" not in text
 
 
-def test_ranking_is_pruned_before_its_only_shuffle(inputs):
+def test_newest_snapshots_are_merged_before_they_move(inputs):
     text = tree(current_cues(inputs.cues, inputs.corrections))
-    assert text.count("WindowGroupLimit") == 2
-    # The duplicate removal after it needs no shuffle of its own.
-    assert text.count("Exchange") - text.count("BroadcastExchange") == 1
+    # No group is ranked: one exchange of partial maxima, one of rows to remove duplicates.
+    assert "Window" not in text
+    assert text.count("Exchange") - text.count("BroadcastExchange") == 2
+
+
+def test_newest_snapshot_of_a_hot_episode_is_split(spark, shuffled_joins):
+    n = F.col("id")
+    cues = spark.range(0, 200_000, 1, 8).select(
+        F.when(n % 2 == 0, F.lit(None)).otherwise(n % 5000).alias("k"), F.lit(1).alias("at"), n.cast("string").alias("v")
+    )
+    found = ops.latest_snapshot(cues, ["k"], "at")
+    assert len(found.collect()) == 200_000
+    assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
 
 
 def test_summary_ends_with_one_shuffle(inputs):

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from cuebreaks import cue_summary
 from cuebreaks import operators as ops
+from cuebreaks.operators import skew
+from cuebreaks.sources import Stage
 from cuebreaks.sources.derived import cue_inputs, derive_cues
 from helpers import SMALL, bag, correction_rows, cue, cue_rows, metadata_rows
 
@@ -49,6 +51,16 @@ def test_every_hot_key_is_listed_whatever_their_number(spark):
     assert ops.hot_keys(many, ["k"], 6) is None
 
 
+def test_a_long_list_of_hot_keys_is_written_not_brought_to_the_driver(spark, skewed, monkeypatch):
+    plain = ops.previous_value(skewed, "v", ["k"], ["t", "v"], "before", hot=None)
+    short = ops.hot_keys(skewed, ["k"], HOT)
+    monkeypatch.setattr(skew, "LISTED", 2)
+    long = ops.hot_keys(skewed, ["k"], HOT)
+    assert short.listed and not long.listed and long.total_pieces == short.total_pieces
+    assert bag(long.keys) == bag(short.keys) and long.keys.inputFiles()
+    assert bag(ops.previous_value(skewed, "v", ["k"], ["t", "v"], "before", hot=HOT)) == bag(plain)
+
+
 def test_spread_separates_rows_and_copies(spark):
     copies = spark.range(0, 800, 1, 8).select(F.lit(1).alias("k"))
     hot = ops.hot_keys(copies, ["k"], 100)
@@ -57,11 +69,17 @@ def test_spread_separates_rows_and_copies(spark):
 
 
 def test_latest_snapshot(skewed):
-    plain = ops.latest_snapshot(skewed, ["k"], "t", None)
+    found = ops.latest_snapshot(skewed, ["k"], "t")
     best = skewed.groupBy("k").agg(F.max("t").alias("best"))
     expected = skewed.join(best.withColumnRenamed("k", "kk"), F.expr("k <=> kk AND t = best"))
-    assert bag(plain) == bag(expected.select("k", "v", "t"))
-    assert bag(ops.latest_snapshot(skewed, ["k"], "t", HOT)) == bag(plain)
+    assert bag(found) == bag(expected.select("k", "v", "t"))
+
+
+def test_a_missing_snapshot_is_the_oldest(spark):
+    rows = [(1, None, "a"), (1, 3, "b"), (1, 3, "b"), (2, None, "c"), (2, None, "d"), (None, 1, "e"), (None, 2, "f")]
+    found = ops.latest_snapshot(spark.createDataFrame(rows, "k long, t long, v string"), ["k"], "t")
+    assert sorted(r.v for r in found.collect()) == ["b", "b", "c", "d", "f"]
+    assert ops.latest_snapshot(found.limit(0), ["k"], "t").isEmpty()
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
@@ -131,6 +149,26 @@ def test_previous_value_keeps_nulls(spark):
     assert bag(split) == bag(plain)
 
 
+def test_wide_rows_are_split_by_their_bytes(spark, monkeypatch):
+    """400 rows are few, but of 20 KB each: no task may order more than a few pieces' bytes of them."""
+    n = F.col("id")
+    frame = spark.range(0, 400, 1, 4).select(
+        F.when(n % 4 > 0, 1).otherwise(n).alias("k"), n.alias("t"), F.repeat(F.lit("x"), 20_000).alias("wide")
+    )
+    written = []
+    stage = Stage(spark)
+    original = stage.write
+    monkeypatch.setattr(stage, "write", lambda df, name: written.append((name, original(df, name))) or written[-1][1])
+    args = ("t", ["k"], ["t"], "before")
+    plain = ops.previous_value(frame, *args, hot=None)
+    split = ops.previous_value(frame, *args, stage=stage, hot_bytes=1_000_000)
+    assert bag(split) == bag(plain)
+    pieces = dict(written)["pieces"].groupBy("_piece").agg(F.sum(F.length("wide")).alias("bytes")).collect()
+    assert sum(r.bytes for r in pieces) == 300 * 20_000 and max(r.bytes for r in pieces) < 2_000_000
+    numbered = ops.numbered_in_order(frame, ["k"], ["t"], "pos", "len", hot_bytes=1_000_000)
+    assert bag(numbered) == bag(ops.numbered_in_order(frame, ["k"], ["t"], "pos", "len", hot=None))
+
+
 def test_numbering(skewed):
     args = (["k"], ["t", "v"], "pos", "len")
     plain = ops.numbered_in_order(skewed, *args, hot=None)
@@ -139,7 +177,6 @@ def test_numbering(skewed):
 
 def test_no_piece_holds_a_whole_hot_group(spark, skewed):
     from cuebreaks.operators.intervals import PIECE, _in_pieces
-    from cuebreaks.sources.staging import Stage
 
     hot = skewed.filter("k IN (7, 8)")
     pieces = _in_pieces(hot, ["k"], ["t", "v"], 12, Stage(spark))
@@ -220,7 +257,7 @@ def test_episode_that_metadata_multiplies_is_split(spark, monkeypatch):
     def recorded(df, *args):
         result = original(df, *args)
         stage = args[-1]
-        seen.append(stage._written[-1][1])
+        seen.extend(staged for path, staged in stage._written if path.endswith("-pieces"))
         return result
 
     monkeypatch.setattr(plan_of, "previous_in_pieces", recorded)
