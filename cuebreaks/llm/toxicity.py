@@ -1,18 +1,20 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-A lexical transducer turns words into symbols: insult (with a weight), threat, target, negation, report, other.
-A threat stays open for ``AFTER`` words, and a target among them settles it ("kill you"). Without one, a target
-up to ``BEFORE`` words earlier counts where the verb has no object of its own: at the clause's end ("you should kill")
-or as an infinitive of a language that puts the object first. A third person directly before the verb
-makes it an account ("they beat the record"), and "her" before another word owns that word ("her knee").
-Four more read the symbols of a clause and each put a factor on its insults and threats: one asks
-threats for a target, one strengthens what is aimed at a target, one weakens what is negated, one what is reported. They
-are composed into one machine. A clause counts its strongest match; a document's score adds up its clauses on
+A lexical transducer turns words into symbols: insult (with a weight), threat, target, negation, report, article, other.
+A second one reads a clause's symbols from right to left and settles its threats by what follows: a target within
+``AFTER`` words is the object ("kill you"), unless an article opens another one before it ("kill the process you
+started"); "her" before another word owns that word ("her knee"). Without an object, a threat stays open only at the
+clause's end ("you should kill") or as an infinitive of a language that puts the object first.
+Four more read what it writes from left to right, and each puts a factor on insults and threats: one asks open threats for
+a target up to ``BEFORE`` words earlier and takes a third person directly before a threat as an account ("they beat them"),
+one strengthens insults aimed at a target, one weakens what is negated, one what is reported. These four are composed
+into one machine. An insult counts without an aim, as toxic rows may have none. A clause counts its strongest match; a document's score adds up its clauses on
 the scale of log-odds, from the share of toxic documents as start.
 
 Insults are learned: words and word beginnings that are significantly more frequent in toxic documents. They are
-fitted on at most ``fit_rows`` labelled documents per label, those of least id hash, of which near copies (by one
-min-hash of their sentences) count once. Scores read nothing but the text.
+fitted on at most ``fit_rows`` labelled documents per label, those of least id hash, one text of each (that of least
+hash), of which near copies (by one min-hash of their sentences) count once. Scores read nothing but the text.
+The start value is 0.5 at most, so that no text is rejected for what others are labelled.
 
 Defined cases: NULL and empty texts have no clause and score the start value; without toxic labels nothing but
 threats is known; rows alike score alike; several labels of one document each count.
@@ -22,7 +24,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, deque
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -40,19 +42,20 @@ MOST_WEIGHT = 6.0
 STEMS = (4, 5, 6)
 THRESHOLD = 0.7
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, THIRD, HER, FACED = SYMBOLS = range(9)
+OTHER, INSULT, THREAT, INFINITIVE, TARGET, NEGATION, REPORT, THIRD, HER, ARTICLE, FACED = SYMBOLS = range(11)
 AFTER, BEFORE = 3, 3
 
 # Fixed function words of the grammar, in the languages of the corpus.
 CLASSES = {
-    THREAT: "kill hurt destroy beat shoot stab tuer frapper töten schlagen matar golpear",
+    THREAT: "kill hurt destroy beat shoot stab",
+    INFINITIVE: "tuer frapper töten schlagen matar golpear",
     TARGET: "you your yours him them vous toi tu ihr dich du usted tú",
     THIRD: "he she they",
     HER: "her",
     NEGATION: "not never neither nor pas jamais nicht nie kein keine nunca jamás",
     REPORT: "said says told wrote reported quoted claimed dit disait sagte schrieb dijo escribió",
+    ARTICLE: "the a an le la les un une der die das den einen eine el los las una",
 }
-INFINITIVES = frozenset("tuer frapper töten schlagen matar golpear".split())
 THREAT_WEIGHT = 4.0
 
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -123,6 +126,32 @@ THREATENED = _threatened()
 GRAMMAR = compose(NEGATED, REPORTED, AIMED, THREATENED)
 
 
+END, WORD, FUNCTION = range(3)
+
+
+def _ahead() -> dict[tuple[int, int], tuple[int, int]]:
+    """Reads a clause from its end and writes what its verbs are: faced, open, or nothing.
+
+    State: words that the next object to the right still reaches, and what the symbol to the right is.
+    """
+    moves: dict[tuple[int, int], tuple[int, int]] = {}
+    for reach in range(AFTER + 1):
+        for right in (END, WORD, FUNCTION):
+            for symbol in SYMBOLS:
+                written = symbol
+                if symbol in (THREAT, INFINITIVE):
+                    is_open = symbol == INFINITIVE or right == END
+                    written = FACED if reach else THREAT if is_open else OTHER
+                is_object = symbol == TARGET or symbol == HER and right != WORD
+                left = AFTER if is_object else 0 if symbol == ARTICLE else max(reach - 1, 0)
+                kind = WORD if symbol in (OTHER, INSULT) else FUNCTION
+                moves[3 * reach + right, symbol] = (3 * left + kind, written)
+    return moves
+
+
+AHEAD = _ahead()
+
+
 def features(word: str) -> list[str]:
     """What a lexicon entry can match of a word: all of it, or a beginning (marked by a star)."""
     return [word, *(f"{word[:n]}*" for n in STEMS if len(word) > n)]
@@ -149,41 +178,22 @@ class Model:
                 self.known.clear()
             weight = max((self.insults.get(f, 0.0) for f in features(word)), default=0.0)
             fixed = next((c for c, listed in CLASSES.items() if word in listed.split()), OTHER)
-            found = (INSULT, weight) if weight else (fixed, THREAT_WEIGHT if fixed == THREAT else 0.0)
+            threat = THREAT_WEIGHT if fixed in (THREAT, INFINITIVE) else 0.0
+            found = (INSULT, weight) if weight else (fixed, threat)
             self.known[word] = found
         return found
 
-    def _settled(self, words: Iterable[str]) -> Iterator[tuple[int, float]]:
-        """Symbols and weights of a clause's words, each given out when the words after it are known."""
-        held: deque[tuple[int, float, str]] = deque()
-
-        def face() -> None:
-            for k in range(max(len(held) - AFTER - 1, 0), len(held)):
-                if held[k][0] == THREAT:
-                    held[k] = (FACED, *held[k][1:])
-
-        def given(last: bool) -> tuple[int, float]:
-            symbol, weight, word = held.popleft()
-            return (OTHER, 0.0) if symbol == THREAT and not last and word not in INFINITIVES else (symbol, weight)
-
-        for word in words:
-            symbol, weight = self.symbol(word)
-            if held and held[-1][0] == HER and symbol not in (OTHER, INSULT):
-                face()
-            held.append((symbol, weight, word))
-            if symbol == TARGET:
-                face()
-            if len(held) > AFTER + 1:
-                yield given(False)
-        if held and held[-1][0] == HER:
-            face()
-        while held:
-            yield given(len(held) == 1)
-
     def clause(self, words: Iterable[str]) -> float:
         """The weight of a clause's strongest match."""
+        read = [self.symbol(w) for w in words]
+        if not any(weight for _, weight in read):
+            return 0.0
+        ahead, written = 0, []
+        for symbol, weight in reversed(read):
+            ahead, symbol = AHEAD[ahead, symbol]
+            written.append((symbol, weight if symbol != OTHER else 0.0))
         state, best = 0, 0.0
-        for symbol, weight in self._settled(words):
+        for symbol, weight in reversed(written):
             state, factor = GRAMMAR.step(state, symbol)
             best = max(best, weight * factor)
         return best
@@ -212,6 +222,7 @@ def learn(
     order = F.xxhash64("doc_id")
     chosen = [usable.filter(F.col("toxic") == t).orderBy(order, "doc_id").limit(fit_rows) for t in (0, 1)]
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")  # bounded
+    sample = sample.groupBy("toxic", "doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     sketch = F.array_min(F.transform(F.split("text", r"[.\n]+"), lambda w: F.xxhash64(w)))
     fitted = sample.select("toxic", "text", sketch.alias("sketch")).dropDuplicates(["toxic", "sketch"])
 

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import duckdb
@@ -46,12 +47,61 @@ def test_threats_need_a_target(model):
     ("she hurt her knee", 0.0),
     ("he beat them", 0.0),
     ("you know very well whom we all should kill", 0.0),
+    ("kill the process you started", 0.0),
+    ("destroy a record of yours", 0.0),
+    ("i will kill you the next time", 4.0),
+    ("he will kill her the next day", 4.0),
 ])
 def test_threats_are_settled_by_a_close_target(model, text, weight):
     assert model.clause(text.split()) == pytest.approx(weight)
     assert (model.score(f"Hello. {text}!") > 0.7) == (weight == 4.0)
 
 
+WORDS = "idiot scumbag kill hurt töten you them her he they not never said the an film ok blue".split()
+
+
+def strongest(model, words):
+    """The strongest match of a clause, by trying every word in turn on the words around it."""
+    symbols = [model.symbol(w)[0] for w in words]
+    n, best = len(words), 0.0
+
+    def is_object(j):
+        owns = j + 1 < n and symbols[j + 1] in (tox.OTHER, tox.INSULT)
+        return symbols[j] == tox.TARGET or symbols[j] == tox.HER and not owns
+
+    for i, symbol in enumerate(symbols):
+        before = lambda reach: symbols[max(i - reach, 0):i]
+        weight = model.symbol(words[i])[1]
+        if symbol == tox.INSULT:
+            weight *= 1.25 if {tox.TARGET, tox.THIRD, tox.HER} & set(before(4)) else 1.0
+        elif weight:
+            faced = any(is_object(j) and tox.ARTICLE not in symbols[i:j] for j in range(i + 1, min(i + tox.AFTER, n - 1) + 1))
+            is_open = (symbol == tox.INFINITIVE or i == n - 1) and tox.TARGET in before(tox.BEFORE)
+            weight *= (faced or is_open) and symbols[max(i - 1, 0)] != tox.THIRD
+        weight *= 0.3 if tox.NEGATION in before(3) else 1.0
+        weight *= 0.5 if tox.REPORT in symbols[:i] else 1.0
+        best = max(best, weight)
+    return best
+
+
+def test_the_machines_find_what_a_search_word_by_word_finds(model):
+    draw = random.Random(5)
+    clauses = [draw.choices(WORDS, k=draw.randint(0, 9)) for _ in range(20_000)]
+    for words in clauses:
+        assert model.clause(words) == pytest.approx(strongest(model, words)), words
+    # A sum of the known words would not do: it differs on most clauses that hold one.
+    known = [c for c in clauses if any(model.symbol(w)[1] for w in c)]
+    differ = sum(abs(model.clause(c) - max(model.symbol(w)[1] for w in c)) > 0.01 for c in known)
+    assert differ > len(known) / 2
+
+
+def test_one_text_of_a_labelled_id_is_learned_from(spark):
+    rows = [(k, "plain words") for k in range(50)] + [(99, f"grumblix number{k}") for k in range(200)]
+    labels = spark.createDataFrame([(k, 0) for k in range(50)] + [(99, 1)] * 30, "doc_id long, toxic int")
+    model = tox.learn(docs(spark, rows), labels)
+    assert model.insults == {}  # one document is no evidence, however often its rows repeat
+
+
 def test_scores_add_up_clauses_and_are_probabilities(model):
     one, two = model.score("An idiot."), model.score("An idiot. What, idiot!")
     assert 0 < model.score(None) == model.score("") < 0.2 < 0.9 < one < two < 1
