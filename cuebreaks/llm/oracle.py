@@ -228,43 +228,38 @@ base AS (
         FOR d, k IN [digits[length(digits) - j]::INT FOR j IN range(length(digits))]]) % 10 = 0
     ELSE length(digits) BETWEEN 8 AND 15 END
 ),
-around AS (
-  SELECT b.doc_id, b.name || ':' || b.value AS entity, greatest(b.start - 100, 0) AS origin,
-    text[greatest(b.start - 100, 0) + 1 : b.stop + 100] AS near, length(text) AS whole, b.start
-  FROM base b JOIN body USING (doc_id)
+passage AS (
+  SELECT doc_id, origin // 500 AS passage,
+    regexp_replace(regexp_replace(substring(' ' || text || ' ', origin + 1, 500), '^\pL+', ''), '\pL+$', '') AS inner_text
+  FROM (SELECT doc_id, text, unnest(range(0, length(text) + 2, 500)) AS origin FROM body)
+),
+said AS (
+  SELECT DISTINCT doc_id, passage, lower(value) AS term
+  FROM (SELECT doc_id, passage, unnest(regexp_extract_all(inner_text, '\pL{3,}')) AS value FROM passage)
+),
+held AS (SELECT DISTINCT doc_id, (start + 1) // 500 AS passage, name || ':' || value AS entity FROM base),
+n AS (SELECT count(*)::DOUBLE AS n FROM passage),
+n_c AS (SELECT entity, count(*) AS n_c FROM held GROUP BY entity),
+n_t AS (SELECT term, count(*) AS n_t FROM said GROUP BY term),
+n_ct AS (SELECT entity, term, count(*) AS n_ct FROM held JOIN said USING (doc_id, passage) GROUP BY ALL HAVING count(*) >= 3),
+disclosing AS (
+  SELECT entity, term FROM n_ct JOIN n_c USING (entity) JOIN n_t USING (term), n
+  WHERE n_c < n AND ln(n * n_ct / (n_c * n_t)) / ln(n / n_c) >= 0.8
 ),
+wanted AS (SELECT DISTINCT doc_id, term FROM held JOIN disclosing USING (entity)),
 word AS (
-  SELECT doc_id, entity, origin, near, whole, start,
-    unnest(regexp_extract_all(near, '\pL{3,}')) AS value,
-    unnest([length(g) FOR g IN string_split_regex(near, '\pL{3,}')[:-2]]) AS gap,
-    unnest(range(len(regexp_extract_all(near, '\pL{3,}')))) AS i
-  FROM around
+  SELECT doc_id, unnest(regexp_extract_all(text, '\pL{3,}')) AS value,
+    unnest([length(g) FOR g IN string_split_regex(text, '\pL{3,}')[:-2]]) AS gap,
+    unnest(range(len(regexp_extract_all(text, '\pL{3,}')))) AS i
+  FROM body SEMI JOIN wanted USING (doc_id)
 ),
 word_at AS (
-  SELECT *, CAST(sum(gap + length(value)) OVER (PARTITION BY doc_id, entity, start ORDER BY i) AS BIGINT) AS upto
-  FROM word
-),
-term AS (
-  SELECT doc_id, entity, lower(value) AS term, origin + upto - length(value) AS start, origin + upto AS stop
-  FROM word_at w
-  WHERE (upto > length(value) OR origin = 0) AND (upto < length(near) OR origin + length(near) >= whole)
-    AND NOT EXISTS (FROM base b WHERE b.doc_id = w.doc_id
-      AND b.start < w.origin + w.upto AND b.stop > w.origin + w.upto - length(w.value))
-),
-n AS (SELECT count(*)::DOUBLE AS n FROM documents),
-n_c AS (SELECT entity, count(DISTINCT doc_id) AS n_c FROM term GROUP BY entity),
-n_ct AS (SELECT entity, term, count(DISTINCT doc_id) AS n_ct FROM term GROUP BY ALL HAVING count(DISTINCT doc_id) >= 3),
-n_t AS (
-  SELECT term, count(*) AS n_t
-  FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '\pL{3,}'))) AS term FROM body)
-  GROUP BY term
-),
-disclosing AS (
-  SELECT entity, term FROM n_ct JOIN n_c USING (entity) JOIN n_t USING (term), n
-  WHERE n_c < n AND ln(n * n_ct / (n_c * n_t)) / ln(n / n_c) >= 0.8
+  SELECT doc_id, value, CAST(sum(gap + length(value)) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS stop FROM word
 ),
 told AS (
-  SELECT DISTINCT doc_id, start, stop FROM term JOIN disclosing USING (entity, term)
+  SELECT w.doc_id, w.stop - length(w.value) AS start, w.stop
+  FROM word_at w SEMI JOIN wanted k ON k.doc_id = w.doc_id AND k.term = lower(w.value)
+  WHERE NOT EXISTS (FROM base b WHERE b.doc_id = w.doc_id AND b.start < w.stop AND b.stop > w.stop - length(w.value))
 ),
 base_line AS (
   SELECT doc_id, string_agg(concat_ws(':', name, start, stop), ',' ORDER BY number, start) AS line,

@@ -1,22 +1,24 @@
 """Personal data: pattern spans, and terms that reveal a protected entity by co-occurrence.
 
-An entity is one value found by a pattern. Over the whole corpus, by documents,
+An entity is one value found by a pattern. The unit of all counts is the passage: texts, with a blank at either
+end, are cut into passages of ``passage_chars`` code points. Over the N passages of the corpus,
 
     IC(c) = log(N / n(c))                         information of entity c
     PMI(c; t) = log(N * n(c, t) / (n(c) * n(t)))  what term t tells of c
 
-where n(c, t) counts documents with t close to c. A term that tells at least ``threshold`` of an entity's
-information is disclosing. Its occurrences close to the entity are spans of kind ``term``; those further off in any
-document that holds the entity are listed apart, as ``far``. ``sanitise`` replaces both: removed if they tell all
-of it (``removal``), otherwise generalised to a mark. Terms seen with an entity in fewer than ``support`` documents
-give no estimate.
+where n counts passages that hold c, t or both: an entity is in the passage in which it starts, a word of at least
+three letters in the one that holds all of it, inside a pattern span or not (words cut by the edge of a passage are no
+evidence). A term that tells at least ``threshold`` of an entity's information is disclosing. Each of its occurrences
+in a document that holds the entity, however far off, is a span of kind ``term`` unless it touches a pattern span.
+``sanitise`` removes those that tell all of it (``removal``) and generalises the others to a mark. Terms seen with an
+entity in fewer than ``support`` passages give no estimate.
 
-All counts are pre-aggregated; for them a text is never shuffled, only spans and words near them are, except
-where rows repeat: there texts are dealt by row to count each once. For ``far``,
-texts that hold an entity with disclosing terms meet the list of these.
+All counts are pre-aggregated. Passages bound the pairs of entities and terms: they grow with the text, not with its
+square. Texts are shuffled only where rows repeat, to count each once, and if they hold an entity of ``support``
+passages.
 
 Defined cases: NULL text is empty; of documents alike in id and text each gets the same spans, and they count once
-as evidence; words that touch a pattern span or are cut by the edge of the neighbourhood are no terms.
+as evidence; a passage repeated within a text or by other documents counts each time.
 """
 
 from __future__ import annotations
@@ -25,12 +27,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cuebreaks.llm.inputs import fresh, row_hash, same, text_or_empty
 from cuebreaks.sources.staging import Stage
 
 KINDS = ("email", "ip", "card", "phone")
-NEAR_CHARS = 100
+PASSAGE_CHARS = 500
 SUPPORT = 3
 THRESHOLD = 0.8
 REMOVAL = 0.999
@@ -46,6 +49,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _WORD = r"\p{L}{3,}+"
+_WHOLE_WORD = rf"(?<=\P{{L}}){_WORD}(?=\P{{L}})"  # touches no edge of its passage
 _NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 
 
@@ -139,84 +143,105 @@ def pattern_spans(text: Column, kind: str) -> Column:
     return F.when(possible, spans).otherwise(nothing)
 
 
-def _neighbours(entities: DataFrame, near: int) -> DataFrame:
-    """Words close to each entity: ``doc_id, text_hash, entity, term, start, end``."""
-    begin = F.greatest(F.col("span.start") - near, F.lit(0))
-    cut = entities.withColumn("begin", begin).withColumn(
-        "around", F.substring("text", F.col("begin") + 1, F.col("span.end") + near - F.col("begin"))
-    )
-    edged = cut.withColumn("open_end", F.col("begin") + F.length("around") < F.length("text"))
-    words = found_spans(F.col("around"), _WORD)
-    worded = edged.select("*", F.explode(words).alias("word"))
-    start, end = F.col("begin") + F.col("word.start"), F.col("begin") + F.col("word.end")
-    whole = ((F.col("word.start") > 0) | (F.col("begin") == 0)) & (
-        (F.col("word.end") < F.length("around")) | ~F.col("open_end")
-    )
-    apart = ~F.exists("spans", lambda s: (s["start"] < end) & (s["end"] > start))
-    return worded.filter(whole & apart).select(
+def _passages(text: Column, chars: int) -> Column:
+    """The distinct words of each passage: an array of arrays; linear in the text."""
+    cut = F.regexp_extract_all(F.concat(F.lit(" "), text, F.lit(" ")), F.lit(f"(?s).{{1,{chars}}}"), 0)
+
+    def words(passage: Column) -> Column:
+        return F.array_distinct(F.transform(F.regexp_extract_all(passage, F.lit(_WHOLE_WORD), 0), F.lower))
+
+    return F.transform(cut, words)
+
+
+def _held(found: DataFrame, chars: int) -> DataFrame:
+    """``doc_id, text_hash, passage, entity``: each entity once per passage that it starts in."""
+    held = found.select("doc_id", "text_hash", F.explode("spans").alias("span"))
+    return held.select(
         "doc_id",
         "text_hash",
+        F.floor((F.col("span.start") + 1) / chars).cast("int").alias("passage"),
         F.concat_ws(":", "span.kind", "span.value").alias("entity"),
-        F.lower("word.value").alias("term"),
-        start.alias("start"),
-        end.alias("end"),
-    )
+    ).distinct()
+
+
+def _of_rows(frame: DataFrame) -> DataFrame:
+    """``frame`` with its row identity renamed, to be joined on ``_row()``."""
+    return frame.withColumnsRenamed({"doc_id": "at_id", "text_hash": "at_hash"})
+
+
+def _row() -> Column:
+    return same("doc_id", "at_id") & (F.col("text_hash") == F.col("at_hash"))
 
 
 def disclosing_terms(
-    near: DataFrame, docs: DataFrame, documents: int, support: int, threshold: float
+    texts: DataFrame, held: DataFrame, docs: DataFrame, passages: int, support: int, threshold: float, chars: int
 ) -> DataFrame:
-    """``entity, term, told``: the part of an entity's information that a term tells, where it is disclosing."""
-    key = F.struct("doc_id", "text_hash")
-    entity = near.groupBy("entity").agg(F.count_distinct(key).alias("n_c"))
-    pair = near.groupBy("entity", "term").agg(F.count_distinct(key).alias("n_ct"))
-    pair = pair.filter(F.col("n_ct") >= support)
-    listed = F.array_distinct(F.regexp_extract_all(F.lower(text_or_empty()), F.lit(_WORD), 0))
-    term = docs.select(F.explode(listed).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    everything = F.lit(float(max(documents, 1)))
+    """``entity, term, told``: the part of an entity's information that a term tells, where it is disclosing.
+
+    ``texts`` are the rows with entities, each once, ``held`` their entities by passage and ``docs`` all rows.
+    """
+    entity = held.groupBy("entity").agg(F.count("*").alias("n_c"))
+    entity = entity.filter((F.col("n_c") >= support) & (F.col("n_c") < passages))
+    counted = _of_rows(held.join(entity, "entity").withColumnRenamed("passage", "at_passage"))
+    worded = texts.join(counted.select("at_id", "at_hash").distinct(), _row(), "left_semi")
+    worded = worded.select("doc_id", "text_hash", F.posexplode(_passages(F.col("text"), chars)).alias("passage", "words"))
+    met = worded.join(counted, _row() & (F.col("passage") == F.col("at_passage")))
+    pair = met.select("entity", "n_c", F.explode("words").alias("term"))
+    pair = pair.groupBy("entity", "n_c", "term").agg(F.count("*").alias("n_ct")).filter(F.col("n_ct") >= support)
+    listed = F.explode(F.flatten(_passages(text_or_empty(), chars)))
+    term = docs.select(listed.alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    everything = F.lit(float(max(passages, 1)))
     told = F.log(everything * F.col("n_ct") / (F.col("n_c") * F.col("n_t"))) / F.log(everything / F.col("n_c"))
     return (
-        pair.join(entity, "entity")
-        .filter(F.col("n_c") < documents)
-        .join(term, "term")
+        pair.join(term, "term")
         .withColumn("told", told)
         .filter(F.col("told") >= threshold)
         .select("entity", "term", "told")
     )
 
 
-def _far_terms(found: DataFrame, disclosing: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, start, end, told``: disclosing terms anywhere in the documents that hold their entity."""
+def _occurrences(texts: DataFrame, held: DataFrame, disclosing: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, start, end, told``: disclosing terms anywhere in the texts that hold their entity.
+
+    Words meet their terms by joins, and pattern spans by their order in the text, so a long text with many of either
+    takes no quadratic time.
+    """
     key = ["doc_id", "text_hash"]
-    held = found.select(*key, F.explode("spans").alias("span"))
-    held = held.select(*key, F.concat_ws(":", "span.kind", "span.value").alias("entity")).distinct()
-    listed = held.join(disclosing, "entity").groupBy(*key, "term").agg(F.max("told").alias("told"))
-    listed = listed.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("term", "told"))).alias("listed"))
-    listed = listed.withColumnsRenamed({"doc_id": "at_id", "text_hash": "at_hash"})
-    on = same("doc_id", "at_id") & (F.col("text_hash") == F.col("at_hash"))
-    texts = found.filter(F.size("spans") > 0).dropDuplicates(key).join(listed, on)
-    words = F.transform(
-        found_spans(F.col("text"), _WORD),
-        lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), F.lower(w["value"]).alias("term")),
+    holders = held.select(*key, "entity").distinct().join(disclosing.select("entity").distinct(), "entity")
+    texts = texts.join(_of_rows(holders), _row(), "left_semi")
+    said = texts.select(*key, F.explode(F.array_distinct(
+        F.transform(F.regexp_extract_all("text", F.lit(_WORD), 0), F.lower))).alias("term"))
+    said = said.join(disclosing, "term").withColumnRenamed("entity", "of")
+    listed = said.join(_of_rows(holders), _row() & (F.col("of") == F.col("entity")))
+    listed = listed.groupBy(*key, "term").agg(F.max("told").alias("told")).withColumnRenamed("term", "listed")
+    marked = texts.select(*key, F.explode(found_spans(F.col("text"), _WORD)).alias("word"))
+    marked = marked.join(_of_rows(listed), _row() & (F.lower("word.value") == F.col("listed")))
+    marked = marked.select(*key, "word.start", "word.end", "told")
+    spans = texts.select(*key, F.explode("spans").alias("span"))
+    both = marked.unionByName(spans.select(*key, "span.start", "span.end", F.lit(None).cast("double").alias("told")))
+    upward = Window.partitionBy(*key).orderBy("start", F.col("told").isNotNull())
+    downward = Window.partitionBy(*key).orderBy(F.col("start").desc(), F.col("told").isNotNull())
+    is_span = F.col("told").isNull()
+    placed = both.withColumns({
+        "reached": F.max(F.when(is_span, F.col("end"))).over(upward),
+        "ahead": F.min(F.when(is_span, F.col("start"))).over(downward),
+    })
+    touched = F.coalesce(F.col("reached") > F.col("start"), F.lit(False)) | F.coalesce(
+        F.col("ahead") < F.col("end"), F.lit(False)
     )
-    words = F.filter(words, lambda w: F.map_contains_key("listed", w["term"]))
-    apart = ~F.exists("spans", lambda s: (s["start"] < F.col("word.end")) & (s["end"] > F.col("word.start")))
-    worded = texts.select(*key, "spans", "listed", F.explode(words).alias("word")).filter(apart)
-    return worded.select(*key, "word.start", "word.end", F.col("listed")[F.col("word.term")].alias("told"))
+    return placed.filter(~is_span & ~touched).select(*key, "start", "end", "told")
 
 
 def personal_data(
     docs: DataFrame,
-    near_chars: int = NEAR_CHARS,
+    passage_chars: int = PASSAGE_CHARS,
     support: int = SUPPORT,
     threshold: float = THRESHOLD,
     stage: Stage | None = None,
-    everywhere: bool = False,
 ) -> DataFrame:
-    """One row per document: ``doc_id, text_hash, base, terms``, with ``everywhere`` also ``far``.
+    """One row per document: ``doc_id, text_hash, base, terms``.
 
-    ``base`` are structs of ``kind, start, end`` by kind, then start; ``terms`` structs of ``start, end, told``
-    within ``near_chars`` of the entity, ``far`` the same of the rest of the text.
+    ``base`` are structs of ``kind, start, end`` by kind, then start; ``terms`` structs of ``start, end, told`` by start.
     """
     stage = stage or Stage(docs.sparkSession)
     text = docs.select("doc_id", row_hash().alias("text_hash"), text_or_empty().alias("text"))
@@ -233,37 +258,27 @@ def personal_data(
         )
 
     spanned = text.withColumn("spans", F.concat(*[of_kind(k) for k in KINDS]))
+    passages = F.ceil((F.length("text") + 2) / passage_chars)
     edges = F.when(F.size("spans") > 0, F.col("text"))
-    found = stage.write(spanned.withColumn("text", edges), "spans")  # texts with an entity only
-    entities = found.filter(F.size("spans") > 0).withColumn("span", F.explode("spans"))
-    near = stage.write(_neighbours(entities, near_chars), "near")
+    # texts with an entity only
+    found = stage.write(spanned.withColumn("passages", passages).withColumn("text", edges), "spans")
     key = ["doc_id", "text_hash"]
-    rows, documents = found.groupBy(*key).count().agg(F.sum("count"), F.count("*")).first()
-    once = text.dropDuplicates(key) if documents < (rows or 0) else text  # texts move only where rows repeat
-    disclosing = stage.write(disclosing_terms(near, once, documents, support, threshold), "disclosing")
-    on = same("doc_id", "term_id") & (F.col("text_hash") == F.col("term_hash"))
+    once = found.groupBy(*key).agg(F.count("*").alias("n"), F.max("passages").alias("passages"))
+    rows, distinct, passages = once.agg(F.sum("n"), F.count("*"), F.sum("passages")).first()
+    repeated = distinct < (rows or 0)
+    evidence = text.dropDuplicates(key) if repeated else text  # texts move only where rows repeat
+    texts = found.filter(F.size("spans") > 0)
+    texts = texts.dropDuplicates(key) if repeated else texts
+    held = stage.write(_held(found, passage_chars), "held")
+    disclosing = disclosing_terms(texts, held, evidence, passages or 0, support, threshold, passage_chars)
+    disclosing = stage.write(disclosing, "disclosing")
     nothing = F.array().cast("array<struct<start:int,end:int,told:double>>")
-
-    def listed(words: DataFrame, name: str) -> DataFrame:
-        return (
-            words.groupBy(*key, "start", "end")
-            .agg(F.max("told").alias("told"))
-            .groupBy(*key)
-            .agg(F.sort_array(F.collect_list(F.struct("start", "end", "told"))).alias(name))
-            .withColumnsRenamed({"doc_id": "term_id", "text_hash": "term_hash"})
-        )
-
-    close = near.join(disclosing, ["entity", "term"]).select(*key, "start", "end", "told")
+    terms = _occurrences(texts, held, disclosing).groupBy(*key)
+    terms = terms.agg(F.sort_array(F.collect_list(F.struct("start", "end", "told"))).alias("terms"))
     base = F.transform("spans", lambda s: F.struct(s["kind"], s["start"], s["end"]))
-    joined = found.join(listed(close, "terms"), on, "left").select(
+    return found.join(_of_rows(terms), _row(), "left").select(
         *key, base.alias("base"), F.coalesce("terms", nothing).alias("terms")
     )
-    if not everywhere:
-        return joined
-    far = F.filter("far", lambda w: ~F.exists("terms", lambda t: t["start"] == w["start"]))
-    return joined.join(listed(_far_terms(found, disclosing), "far"), on, "left").select(
-        *key, "base", "terms", F.coalesce(far, nothing).alias("far")
-    )
 
 
 def redacted(text: Column, spans: Column) -> Column:
@@ -285,17 +300,14 @@ def redacted(text: Column, spans: Column) -> Column:
 
 def sanitise(docs: DataFrame, removal: float = REMOVAL, stage: Stage | None = None, **options) -> DataFrame:
     """``docs`` with personal data replaced by marks, and disclosing terms generalised or removed."""
-    found = personal_data(docs, stage=stage, everywhere=True, **options)
+    found = personal_data(docs, stage=stage, **options)
 
     def marks(spans: str, mark: Callable[[Column], Column]) -> Column:
         return F.transform(spans, lambda s: F.struct(s["start"], s["end"], mark(s).alias("mark")))
 
     marked = F.concat(
         marks("base", lambda s: F.concat(F.lit("<"), s["kind"], F.lit(">"))),
-        *[
-            marks(terms, lambda s: F.when(s["told"] >= removal, "").otherwise("<term>"))
-            for terms in ("terms", "far")
-        ],
+        marks("terms", lambda s: F.when(s["told"] >= removal, "").otherwise("<term>")),
     )
     names = {n: fresh(docs.columns, n) for n in ("span_id", "span_hash", "marks", "own_hash")}
     spans = found.select(

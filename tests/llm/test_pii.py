@@ -1,5 +1,8 @@
+import math
+import random
 import re
 import time
+from collections import Counter
 
 import duckdb
 import pytest
@@ -111,19 +114,80 @@ def test_sanitised_text(spark):
 
 
 def test_terms_far_from_their_entity(spark):
-    far = " and so on" * 30
+    far = " and so on" * 130
     rows = corpus() + [(300, f"Zorblax came, zor@blax.org{far} then zorblax, Zorblaxian or Zorblax.")]
-    found = {r.doc_id: r for r in pii.personal_data(docs(spark, rows), everywhere=True).collect()}
+    found = {r.doc_id: r for r in pii.personal_data(docs(spark, rows)).collect()}
     told = {t.told for t in found[3].terms if t.end - t.start == 7}
-    assert [rows[-1][1][t.start : t.end] for t in found[300].terms] == ["Zorblax"]
-    assert [rows[-1][1][t.start : t.end] for t in found[300].far] == ["zorblax", "Zorblax"]
-    assert {t.told for t in found[300].far} == told
-    assert not found[100].far and not found[3].far
+    assert [rows[-1][1][t.start : t.end] for t in found[300].terms] == ["Zorblax", "zorblax", "Zorblax"]
+    assert {t.told for t in found[300].terms} == told
+    assert not found[100].terms
     clean = {r.doc_id: r.text for r in pii.sanitise(docs(spark, rows)).collect()}
     assert clean[300] == f"<term> came, <email>{far} then <term>, Zorblaxian or <term>."
     assert clean[100] == "nothing here but Zorblax far away"  # does not hold the entity
 
 
+def brute_terms(rows, chars, support, threshold):
+    """Term spans by document, by plain loops over all passages, entities and words."""
+    passages, everything = [], 0
+    for i, text in set(rows):
+        padded, base = f" {text or ''} ", plain(text)
+        for k in range(0, len(padded), chars):
+            everything += 1
+            cut = padded[k : k + chars]
+            words = [m for m in re.finditer(r"[^\W\d_]+", cut) if m.end() - m.start() >= 3]
+            words = {m.group().lower() for m in words if m.start() > 0 and m.end() < len(cut)}
+            passages.append((words, {(kind, text[a:b]) for kind, a, b in base if k <= a + 1 < k + chars}))
+    n_c, n_t, n_ct = Counter(), Counter(), Counter()
+    for words, entities in passages:
+        n_c.update(entities)
+        n_t.update(words)
+        n_ct.update((c, t) for c in entities for t in words)
+    tells = {
+        (c, t)
+        for (c, t), n in n_ct.items()
+        if n >= support and n_c[c] < everything
+        and math.log(everything * n / (n_c[c] * n_t[t])) / math.log(everything / n_c[c]) >= threshold
+    }
+    spans = {}
+    for i, text in set(rows):
+        base = plain(text)
+        entities = {(kind, text[a:b]) for kind, a, b in base}
+        spans[i] = [
+            (m.start(), m.end())
+            for m in re.finditer(r"[^\W\d_]{3,}", text or "")
+            if any((c, m.group().lower()) in tells for c in entities)
+            and not any(a < m.end() and b > m.start() for _, a, b in base)
+        ]
+    return spans
+
+
+@pytest.mark.parametrize("chars", [40, 500])
+def test_terms_against_brute_force(spark, chars):
+    draw = random.Random(5)
+    words = ["Ann", "bob", "éva", "Karl", "lives", "here", "of", "the", "and", "sees"]
+    values = ["ann@a.bc", "bob.x@d.ef", "10.0.0.1", "+1 555 123 4567", "4111 1111 1111 1111"]
+    rows = [
+        (i, " ".join(draw.choice(values if draw.random() < 0.1 else words[: 2 + i % 9]) for _ in range(draw.choice([0, 5, 60]))))
+        for i in range(120)
+    ]
+    rows += [(k + 200, f"{name} has {value} and {name}") for k in range(3) for name, value in zip(["Zed", "Yva", "Xan"], values)]
+    rows += [(300, None), (301, "")] + rows[:9]
+    rows = [(i * 7 + j, t) for i, (j, t) in enumerate(rows[:-9])] + [(k * 7 + j, t) for k, (j, t) in enumerate(rows[:9])]
+    want = brute_terms(rows, chars, 3, 0.8)
+    found = pii.personal_data(docs(spark, rows), passage_chars=chars).collect()
+    assert len(found) == len(rows) and any(want.values())
+    assert {r.doc_id: [(t.start, t.end) for t in r.terms] for r in found} == want
+
+
+def test_many_entities_and_words_in_one_text(spark):
+    held = " ".join(f"n{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}x a{k}@b.cc" for k in range(6_000))
+    rows = [(k, held) for k in range(3)] + [(k + 10, f"plain text number {k}") for k in range(50)]
+    begin = time.time()
+    found = {r.doc_id: r for r in pii.personal_data(docs(spark, rows, clashing=False)).collect()}
+    assert time.time() - begin < 120
+    assert len(found[0].base) == 6_000 and len(found[0].terms) > 5_000 and found[0].terms == found[2].terms
+
+
 def test_rows_alike_count_once(spark):
     found = pii.personal_data(docs(spark, [(1, "Zed zed@zed.zed"), (1, "Zed zed@zed.zed")] * 4 + [(2, "x")])).collect()
     assert len(found) == 9 and not any(r.terms for r in found)
