@@ -21,6 +21,10 @@ HOT_ROWS = 2_000_000
 HOT_BYTES = 256 << 20
 LISTED = 50_000
 
+# What one task is given of rows that it groups and sorts, and the least that is worth a task of its own.
+PART_BYTES = 128 << 20
+LEAST_PART_BYTES = 8 << 20
+
 PIECES = "_pieces"
 SALT = "_salt"
 
@@ -64,6 +68,18 @@ def row_bytes(df: DataFrame) -> Column:
     return reduce(add, lengths, F.lit(8 * len(df.columns)).cast("long"))
 
 
+def parts_of(df: DataFrame, copies: int = 1) -> int:
+    """Into how many partitions to deal ``df``, each row ``copies`` times, for tasks that hold a part in memory.
+
+    Adaptive execution sizes partitions by what they take compressed, which may be a thirtieth of what they take in
+    a task. Bytes are measured row by row instead, by one job. Inputs below ``PART_BYTES`` times the session's shuffle
+    partitions are cut finer, down to ``LEAST_PART_BYTES``, to keep all cores busy.
+    """
+    total = (df.agg(F.sum(row_bytes(df))).first()[0] or 0) * copies
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-total // PART_BYTES), min(usual, -(-total // LEAST_PART_BYTES)))
+
+
 def hot_keys(
     df: DataFrame,
     columns: Sequence[str],

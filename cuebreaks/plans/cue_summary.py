@@ -33,7 +33,7 @@ from cuebreaks.operators import (
     previous_in_pieces,
     terminal_quotients,
 )
-from cuebreaks.operators.skew import HOT_BYTES, HOT_ROWS
+from cuebreaks.operators.skew import HOT_BYTES, HOT_ROWS, parts_of
 from cuebreaks.sources.schemas import CORRECTIONS, CUES, METADATA, SUMMARY, check_schema
 from cuebreaks.sources.staging import Stage
 from cuebreaks.sources.tables import check_target, read_table, replace_table
@@ -224,10 +224,12 @@ def _with_previous(
     described = stage.write(joined, "described")
     twice = described.withColumn("_rows", F.lit(2))
     hot = hot_keys(twice, EPISODE, hot_rows, "_rows", HOT_BYTES, stage)
+    parts = parts_of(described, 2)
 
     def in_order(part: DataFrame) -> DataFrame:
-        # One shuffle serves the terminal rows, the duplicate removal and the window.
-        ends = _with_ends(part.repartition(*EPISODE)).distinct()
+        # One shuffle serves the terminal rows, the duplicate removal and the window. Its tasks hold twice the rows they
+        # read, so the number of partitions comes from bytes in memory, not from what the shuffle compresses them to.
+        ends = _with_ends(part.repartition(parts, *EPISODE)).distinct()
         return previous_in_order(ends, time, EPISODE, BREAK_ORDER, previous)
 
     if hot is None:

@@ -4,6 +4,7 @@ import contextlib
 import datetime as dt
 import importlib
 import io
+import math
 import re
 from collections import Counter
 
@@ -13,10 +14,11 @@ from pyspark.sql import functions as F
 from cuebreaks import cue_summary
 from cuebreaks import operators as ops
 from cuebreaks.catalog import QUERIES
+from cuebreaks.operators import skew
 from cuebreaks.plans.cue_summary import current_cues
 from cuebreaks.sources import Stage
 from cuebreaks.sources.derived import CueInputs, cue_inputs
-from helpers import SMALL
+from helpers import SMALL, bag
 
 
 def plan(df):
@@ -200,3 +202,23 @@ def test_staged_cues_are_scanned_three_times(spark, inputs):
 def test_lookups_scan_their_raw_input_once(spark, inputs):
     for name in ("metadata_join_exact", "metadata_join_normalized", "ad_spec", "ad_grade"):
         assert tree(QUERIES[name](spark, SMALL)).count("Scan parquet") == 2  # cues and metadata
+
+
+def test_breaks_are_ordered_in_parts_sized_by_their_bytes_in_memory(spark, inputs, monkeypatch):
+    # Rows that compress well: adaptive execution alone would give them all to one task.
+    n = F.col("id")
+    frame = spark.range(0, 20_000, 1, 4).select(n, F.repeat(F.lit("x"), 1000).alias("s"))
+    size = 20_000 * (2 * 8 + 1000)
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert skew.parts_of(frame) == math.ceil(size / skew.LEAST_PART_BYTES) < usual
+    assert skew.parts_of(frame.limit(0)) == 1
+    monkeypatch.setattr(skew, "PART_BYTES", 1 << 20)
+    assert skew.parts_of(frame) == math.ceil(size / (1 << 20)) > usual
+    assert skew.parts_of(frame, 2) == math.ceil(2 * size / (1 << 20))
+
+    monkeypatch.setattr(skew, "PART_BYTES", 20_000)
+    result = cue_summary(*inputs, "exact", dt.date(2024, 1, 2))
+    filled = result.groupBy(F.spark_partition_id()).count().collect()
+    assert len(filled) > usual  # one shuffle of the session's width would fill no more
+    monkeypatch.undo()
+    assert bag(result) == bag(cue_summary(*inputs, "exact", dt.date(2024, 1, 2)))
