@@ -13,7 +13,7 @@ from cuebreaks import functions as R
 from cuebreaks import operators as ops
 from cuebreaks import oracle
 from cuebreaks.plans import cue_summary
-from cuebreaks.sources.derived import LINE_ORDER, CueInputs, cue_inputs
+from cuebreaks.sources.derived import LINE_ORDER, CueInputs, cue_input, cue_inputs
 from cuebreaks.sources.staging import Stage, shared_dir
 from cuebreaks.sources.tables import read_table, replace_table
 
@@ -38,7 +38,7 @@ def _on_inputs(query: Callable[[CueInputs], DataFrame]) -> Query:
 
 
 def _on_cues(query: Callable[[DataFrame], DataFrame]) -> Query:
-    return _on_inputs(lambda inputs: query(inputs.cues))
+    return lambda spark, sf_dir: query(cue_input(spark, sf_dir, "cues"))
 
 
 def _staged(df: DataFrame, name: str) -> DataFrame:
@@ -70,9 +70,9 @@ def prune_then_dedup(lineitem: DataFrame) -> DataFrame:
 
 def latest_snapshot_cues(cues: DataFrame) -> DataFrame:
     keys, snapshot = ["seriesTitle", "seasonNumber", "episodeNumber"], "SDPSnapshotUpdateTimestamp"
-    current = _staged(ops.current_versions(cues, "effectiveTo"), "current")
-    latest = ops.latest_snapshot(current, keys, snapshot)
-    return latest.select(*keys, "assetExternalID", "cuePointPosition", snapshot)
+    # Copies do not change a maximum, so they are removed from the newest rows only.
+    latest = ops.latest_snapshot(ops.open_records(cues, "effectiveTo"), keys, snapshot)
+    return ops.current_versions(latest, "effectiveTo").select(*keys, "assetExternalID", "cuePointPosition", snapshot)
 
 
 def label_override(inputs: CueInputs) -> DataFrame:
@@ -273,7 +273,7 @@ def exclude_name_documents(documents: DataFrame) -> DataFrame:
 
 
 def replace_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    current = ops.current_versions(cue_inputs(spark, sf_dir).cues, "effectiveTo")
+    current = ops.current_versions(cue_input(spark, sf_dir, "cues"), "effectiveTo")
     target = f"{shared_dir(spark)}/cuebreaks-target/{uuid.uuid4().hex}"
     replace_table(current.drop("effectiveTo"), target)
     return read_table(spark, target)

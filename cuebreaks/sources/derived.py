@@ -27,7 +27,7 @@ class CueInputs(NamedTuple):
 
 
 # Test inputs only: kept for the life of the application, so that each query reads the same files.
-_STAGED: dict[tuple[str, str], CueInputs] = {}
+_STAGED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _text(prefix: str, key: Column) -> Column:
@@ -135,14 +135,17 @@ def derive_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def cue_inputs(spark: SparkSession, sf_dir: str) -> CueInputs:
-    """The three inputs as written tables, derived once per application and scale."""
-    key = (spark.conf.get("spark.app.id"), sf_dir)
+_DERIVE = {"cues": derive_cues, "corrections": derive_corrections, "metadata": derive_metadata}
+
+
+def cue_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the inputs as a written table, derived once per application and scale."""
+    key = (spark.conf.get("spark.app.id"), sf_dir, name)
     if key not in _STAGED:
-        stage = Stage(spark, lasting=True)
-        _STAGED[key] = CueInputs(
-            stage.write(derive_cues(spark, sf_dir), "cues"),
-            stage.write(derive_corrections(spark, sf_dir), "corrections"),
-            stage.write(derive_metadata(spark, sf_dir), "metadata"),
-        )
+        _STAGED[key] = Stage(spark, lasting=True).write(_DERIVE[name](spark, sf_dir), name)
     return _STAGED[key]
+
+
+def cue_inputs(spark: SparkSession, sf_dir: str) -> CueInputs:
+    """All three inputs; a query that reads cues only takes ``cue_input`` and does not wait for the others."""
+    return CueInputs(*[cue_input(spark, sf_dir, name) for name in CueInputs._fields])

@@ -222,3 +222,42 @@ def test_breaks_are_ordered_in_parts_sized_by_their_bytes_in_memory(spark, input
     assert len(filled) > usual  # one shuffle of the session's width would fill no more
     monkeypatch.undo()
     assert bag(result) == bag(cue_summary(*inputs, "exact", dt.date(2024, 1, 2)))
+
+
+def test_newest_cues_are_found_before_copies_are_removed(spark, shuffled_joins, monkeypatch):
+    catalog = importlib.import_module("cuebreaks.catalog")
+    n = F.col("id")
+    old = n % 10 == 0
+    cues = spark.range(0, 60_000, 1, 8).select(
+        F.when(n % 2 == 0, F.lit(None)).otherwise((n % 5000).cast("string")).alias("seriesTitle"),
+        n.cast("string").alias("assetExternalID"),
+        F.lit(1).cast("long").alias("seasonNumber"),
+        F.lit(None).cast("long").alias("episodeNumber"),
+        n.alias("cuePointPosition"),
+        F.when(n % 3 != 0, "9999-12-31 23:59:59").otherwise("2024-01-01 00:00:00").cast("timestamp_ntz").alias("effectiveTo"),
+        F.when(n % 3 == 0, "2024-01-03").when(old, "2024-01-01").otherwise("2024-01-02").cast("timestamp_ntz")
+        .alias("SDPSnapshotUpdateTimestamp"),
+    )
+    monkeypatch.setattr(catalog, "_staged", lambda *_: pytest.fail("all open cues are written"))
+    found = catalog.latest_snapshot_cues(cues.unionByName(cues))
+    # Series of every tenth number have old snapshots only, and these are even: all of them lack a series.
+    rows = [r.cuePointPosition for r in found.collect()]
+    assert sorted(rows) == [k for k in range(60_000) if k % 3 and k % 10]
+    final = found._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in final  # the duplicate removal has an exchange of its own
+
+
+def test_a_query_on_cues_does_not_wait_for_the_other_inputs(spark, monkeypatch):
+    derived = importlib.import_module("cuebreaks.sources.derived")
+
+    class Unwritten:
+        def __init__(self, *_, **__):
+            pass
+
+        def write(self, df, name):
+            assert name == "cues"
+            return df
+
+    monkeypatch.setattr(derived, "_STAGED", {})
+    monkeypatch.setattr(derived, "Stage", Unwritten)
+    assert not QUERIES["latest_snapshot_cues"](spark, SMALL).isEmpty()
